@@ -25,9 +25,11 @@ def exact_quantiles(
     """
     by = list(by)
     rows = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_x"))
-    # The sketch may be off by 1/accuracy of the rows; one more keeps the
-    # neighbour that interpolation needs inside.
+    # The sketch may be off by 1/accuracy of the rows. Four times that, and so
+    # four ranks at the least, keeps both neighbours that interpolation needs
+    # inside. In a group too small for that the bracket is the whole group.
     slack = 4.0 / accuracy
+    small = F.col("_n") <= accuracy
     lows = [max(0.0, q - slack) for q in quantiles]
     highs = [min(1.0, q + slack) for q in quantiles]
 
@@ -54,8 +56,8 @@ def exact_quantiles(
             ),
             lambda b: F.struct(
                 b["q"].alias("q"),
-                F.when(b["from_least"], F.col("_least")).otherwise(b["low"]).alias("low"),
-                F.when(b["to_most"], F.col("_most")).otherwise(b["high"]).alias("high"),
+                F.when(b["from_least"] | small, F.col("_least")).otherwise(b["low"]).alias("low"),
+                F.when(b["to_most"] | small, F.col("_most")).otherwise(b["high"]).alias("high"),
             ),
         ).alias("_brackets"),
     )
@@ -86,7 +88,8 @@ def exact_quantiles(
     ranked = tallied.withColumn("_upto", F.sum("_count").over(upto))
 
     def value_at(rank):
-        return F.min(F.when(F.col("_upto") > rank, F.col("_value")))
+        found = F.min(F.when(F.col("_upto") > rank, F.col("_value")))
+        return F.coalesce(found, F.raise_error(F.lit("quantile outside its bracket")))
 
     ends = ranked.groupBy(*by, "quantile").agg(
         value_at(low_rank).alias("_a"),
