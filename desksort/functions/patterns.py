@@ -50,12 +50,12 @@ NOISE = (
 )
 
 # Whitespace as a Unicode-aware string split sees it; ``\s`` alone is ASCII.
-_SPACES = (
-    r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
-WHITESPACE = f"[{_SPACES}]"
-NOT_WHITESPACE = f"[^{_SPACES}]"
+_NARROW = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}"
+_WIDE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+NARROW_SPACES = f"[{_NARROW}]"
+WIDE_SPACES = f"[{_WIDE}]"
+WHITESPACE = f"[{_NARROW}{_WIDE}]"
+NOT_WHITESPACE = f"[^{_NARROW}{_WIDE}]"
 
 # Control, format, surrogate, private and unassigned characters, but for the
 # control characters that count as whitespace.

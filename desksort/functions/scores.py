@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import taxonomy
+from .text import bind
 
 REVIEW_THRESHOLD = 0.6
 
@@ -16,11 +17,6 @@ def category_array(categories: Sequence[str]) -> Column:
     return F.array(*[F.lit(c) for c in categories])
 
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once, however often it is named."""
-    return F.transform(F.array(value), body)[0]
-
-
 def softmax(logits: Column) -> Column:
     def shares(powers: Column) -> Column:
         total = F.aggregate(powers, F.lit(0.0), lambda acc, v: acc + v)

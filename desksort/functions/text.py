@@ -6,7 +6,7 @@ JVM. NULL counts as empty text throughout.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,17 +15,33 @@ from . import patterns
 
 KINDS = tuple(kind for kind, _, _ in patterns.PERSONAL_DATA)
 
-Step = tuple[str, str]
-
 
 def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _run(c: Column, steps: Iterable[Step]) -> Column:
-    for pattern, replacement in steps:
-        c = F.regexp_replace(c, F.lit(pattern), F.lit(replacement))
-    return c
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often it is named."""
+    return F.transform(F.array(value), body)[0]
+
+
+Test = Callable[[Column], Column]
+
+
+def holds(literal: str) -> Test:
+    return lambda c: F.contains(c, F.lit(literal))
+
+
+def _rewrite(c: Column, pattern: str, replacement: str, needs: Test | None = None) -> Column:
+    """Replace matches; ``needs`` is a cheap test that every text with a match
+    passes, so that the others skip the pattern."""
+
+    def replace(x: Column) -> Column:
+        return F.regexp_replace(x, F.lit(pattern), F.lit(replacement))
+
+    if needs is None:
+        return replace(c)
+    return bind(c, lambda x: F.when(needs(x), replace(x)).otherwise(x))
 
 
 def text_or_empty(c: Column | str) -> Column:
@@ -34,8 +50,8 @@ def text_or_empty(c: Column | str) -> Column:
 
 def personal_data_steps(
     kinds: Iterable[str] | None = None, unicode: bool = False
-) -> list[tuple[str, str, str]]:
-    """(kind, pattern, token) for the chosen kinds, in their fixed order.
+) -> list[tuple[str, str, str, Test | None]]:
+    """(kind, pattern, token, needs) for the chosen kinds, in their fixed order.
 
     ``unicode`` widens word boundaries, digits and case folding from ASCII to
     all of Unicode.
@@ -44,8 +60,21 @@ def personal_data_steps(
     if unknown := wanted - set(KINDS):
         raise ValueError(f"unknown personal-data kinds: {sorted(unknown)}")
     flags = "(?iuU)" if unicode else "(?i)"
+
+    def digits(pattern: str) -> Test:
+        return lambda c: c.rlike(("(?U)" if unicode else "") + pattern)
+
+    needs = {
+        "email": holds("@"),
+        "phone": digits(r"\d{3}"),
+        "ssn": digits(r"\d{3}"),
+        "credit_card": digits(r"\d{4}"),
+        "ip_address": digits(r"\d\.\d"),
+        "url": holds("://"),
+        "account_number": digits(r"\d{6}"),
+    }
     return [
-        (kind, flags + pattern, token)
+        (kind, flags + pattern, token, needs.get(kind))
         for kind, pattern, token in patterns.PERSONAL_DATA
         if kind in wanted
     ]
@@ -56,25 +85,51 @@ def redact(
 ) -> Column:
     """Put a token in place of personal data. Each kind of pattern sees the
     text the one before it left."""
-    return _run(
-        text_or_empty(c), [(p, token) for _, p, token in personal_data_steps(kinds, unicode)]
-    )
+    out = text_or_empty(c)
+    for _, pattern, token, needs in personal_data_steps(kinds, unicode):
+        out = _rewrite(out, pattern, token, needs)
+    return out
 
 
 def strip_non_printable(c: Column | str) -> Column:
-    return _run(text_or_empty(c), [(patterns.NON_PRINTABLE, "")])
+    return _rewrite(text_or_empty(c), patterns.NON_PRINTABLE, "")
+
+
+def _strip_markup(c: Column, rules: Iterable[tuple[str, str]]) -> Column:
+    needs = {r"&#\d+;": holds("&#"), r"<[^>]+>": holds("<")}
+    for pattern, replacement in rules:
+        if pattern.startswith("&") and pattern not in needs:
+            # A plain string: no pattern matching needed.
+            c = F.replace(c, F.lit(pattern), F.lit(replacement))
+        else:
+            c = _rewrite(c, pattern, replacement, needs.get(pattern))
+    return c
 
 
 def strip_markup(c: Column | str) -> Column:
-    return _run(text_or_empty(c), patterns.MARKUP)
+    return _strip_markup(text_or_empty(c), patterns.MARKUP)
 
 
 def squeeze_noise(c: Column | str) -> Column:
-    return _run(text_or_empty(c), patterns.NOISE)
+    out = text_or_empty(c)
+    for pattern, replacement in patterns.NOISE:
+        # A pattern reads: a character, perhaps escaped, and its least number.
+        char, least = pattern.lstrip("\\")[0], int(pattern[-3])
+        out = _rewrite(out, pattern, replacement, holds(char * least))
+    return out
 
 
 def collapse_whitespace(c: Column | str) -> Column:
-    return F.trim(_run(text_or_empty(c), [(patterns.WHITESPACE + "+", " ")]))
+    """Runs of whitespace to one space, none at the ends."""
+    # Wide spaces first, in texts that can hold any: the class of the second
+    # pattern is then a table look-up per character.
+    out = bind(
+        text_or_empty(c),
+        lambda x: F.when(F.length(x) == F.octet_length(x), x).otherwise(
+            F.regexp_replace(x, F.lit(patterns.WIDE_SPACES), F.lit(" "))
+        ),
+    )
+    return F.trim(_rewrite(out, patterns.NARROW_SPACES + "+", " "))
 
 
 def lower_case(c: Column | str) -> Column:
@@ -90,19 +145,19 @@ def normalize(c: Column | str) -> Column:
     """Markup, then noise, then whitespace, then lower case."""
     # Line breaks and tabs need no step of their own here: no other step tells
     # them from spaces, and the whitespace step folds them.
-    markup = patterns.MARKUP[2:]
-    return F.lower(collapse_whitespace(_run(text_or_empty(c), [*markup, *patterns.NOISE])))
+    out = squeeze_noise(_strip_markup(text_or_empty(c), patterns.MARKUP[2:]))
+    return F.lower(collapse_whitespace(out))
 
 
 def gate_length(c: Column | str, min_length: int = 10, max_length: int = 2000) -> Column:
     """Blank what is shorter than ``min_length``; cut what is longer than
     ``max_length``."""
-    # The length test is a pattern, so that the (costly) input is named once
-    # and its expression is not evaluated twice.
-    c = F.regexp_replace(
-        _column(c), F.lit(rf"(?s)\A.{{0,{min_length - 1}}}\z"), F.lit("")
-    ) if min_length > 0 else _column(c)
-    return F.substring(c, 1, max_length)
+    return bind(
+        text_or_empty(c),
+        lambda x: F.when(F.length(x) < min_length, F.lit("")).otherwise(
+            F.substring(x, 1, max_length)
+        ),
+    )
 
 
 def clean(

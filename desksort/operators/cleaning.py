@@ -50,18 +50,22 @@ def _staged(df: DataFrame, column: str, redact_pii: bool, unicode: bool) -> Data
     """One row per input row: its text after cleaning, short of the length
     gate, with the personal-data hits of each pattern on the text it saw.
 
-    Every stage is a column of its own that the next names twice (to count, to
-    replace), which keeps Catalyst from inlining and repeating the stages.
+    A pattern is only replaced where it was counted. Every stage is a column of
+    its own that the next names several times, which keeps Catalyst from
+    inlining and repeating the stages.
     """
     stage = df.select(
         F.col(column).isNotNull().alias("given"), text.strip_non_printable(column).alias("text")
     )
     if redact_pii:
-        for kind, pattern, token in text.personal_data_steps(unicode=unicode):
-            stage = stage.withColumns({
-                f"hits_{kind}": F.regexp_count("text", F.lit(pattern)),
-                "text": F.regexp_replace("text", F.lit(pattern), F.lit(token)),
-            })
+        for kind, pattern, token, needs in text.personal_data_steps(unicode=unicode):
+            hits = F.regexp_count("text", F.lit(pattern))
+            if needs is not None:
+                hits = F.when(needs(F.col("text")), hits).otherwise(0)
+            replaced = F.regexp_replace("text", F.lit(pattern), F.lit(token))
+            stage = stage.withColumn(f"hits_{kind}", hits).withColumn(
+                "text", F.when(F.col(f"hits_{kind}") > 0, replaced).otherwise(F.col("text"))
+            )
     return stage.withColumn("text", text.normalize("text"))
 
 
