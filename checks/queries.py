@@ -767,6 +767,8 @@ def batch_scorer_predictions(spark, sf):
 @query
 def streamed_cleaning(spark, sf):
     source = spark.readStream.schema("doc_id long, text string").parquet(f"{sf}/documents.parquet*")
+    # The table is one file with one row group: without this, one task.
+    source = source.repartition(spark.sparkContext.defaultParallelism, "doc_id")
     out = scratch_path(spark, "cleaned")
     cleaned = streaming.clean_stream(source, ["text"]).select("doc_id", "text_clean")
     streaming.start_append(cleaned, out, scratch_path(spark, "progress")).awaitTermination()
