@@ -622,7 +622,7 @@ def stop_words() -> list[str]:
 
 STOP = ", ".join(quoted(w) for w in stop_words())
 WORDS = f"""words AS (
-  SELECT doc_id, list_filter(regexp_extract_all(strip_accents(lower(text)), '\\w\\w+'),
+  SELECT doc_id, list_filter(regexp_extract_all(strip_accents(lower(text)), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
                              lambda w: NOT list_contains([{STOP}], w)) AS w FROM documents),
 terms AS (SELECT doc_id, w || CASE WHEN len(w) > 1
     THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])

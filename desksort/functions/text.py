@@ -49,20 +49,18 @@ def text_or_empty(c: Column | str) -> Column:
 
 
 def personal_data_steps(
-    kinds: Iterable[str] | None = None, unicode: bool = False
+    kinds: Iterable[str] | None = None,
 ) -> list[tuple[str, str, str, Test | None]]:
     """(kind, pattern, token, needs) for the chosen kinds, in their fixed order.
 
-    ``unicode`` widens word boundaries, digits and case folding from ASCII to
-    all of Unicode.
+    Word boundaries, digits, spaces and case are those of all of Unicode.
     """
     wanted = set(KINDS if kinds is None else kinds)
     if unknown := wanted - set(KINDS):
         raise ValueError(f"unknown personal-data kinds: {sorted(unknown)}")
-    flags = "(?iuU)" if unicode else "(?i)"
 
     def digits(pattern: str) -> Test:
-        return lambda c: c.rlike(("(?U)" if unicode else "") + pattern)
+        return lambda c: c.rlike("(?U)" + pattern)
 
     needs = {
         "email": holds("@"),
@@ -74,19 +72,17 @@ def personal_data_steps(
         "account_number": digits(r"\d{6}"),
     }
     return [
-        (kind, flags + pattern, token, needs.get(kind))
+        (kind, "(?iuU)" + pattern, token, needs.get(kind))
         for kind, pattern, token in patterns.PERSONAL_DATA
         if kind in wanted
     ]
 
 
-def redact(
-    c: Column | str, kinds: Iterable[str] | None = None, unicode: bool = False
-) -> Column:
+def redact(c: Column | str, kinds: Iterable[str] | None = None) -> Column:
     """Put a token in place of personal data. Each kind of pattern sees the
     text the one before it left."""
     out = text_or_empty(c)
-    for _, pattern, token, needs in personal_data_steps(kinds, unicode):
+    for _, pattern, token, needs in personal_data_steps(kinds):
         out = _rewrite(out, pattern, token, needs)
     return out
 
@@ -102,7 +98,7 @@ def _strip_markup(c: Column, rules: Iterable[tuple[str, str]]) -> Column:
             # A plain string: no pattern matching needed.
             c = F.replace(c, F.lit(pattern), F.lit(replacement))
         else:
-            c = _rewrite(c, pattern, replacement, needs.get(pattern))
+            c = _rewrite(c, "(?U)" + pattern, replacement, needs.get(pattern))
     return c
 
 
@@ -165,10 +161,9 @@ def clean(
     min_length: int = 10,
     max_length: int = 2000,
     redact_pii: bool = True,
-    unicode: bool = False,
 ) -> Column:
     """The whole cleaner: printable characters, redaction, normalising, length."""
     out = strip_non_printable(c)
     if redact_pii:
-        out = redact(out, unicode=unicode)
+        out = redact(out)
     return gate_length(normalize(out), min_length, max_length)

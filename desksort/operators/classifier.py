@@ -58,7 +58,6 @@ class TicketClassifier:
     categories: list[str]
     threshold: float = scores.REVIEW_THRESHOLD
     stop_words: list[str] = field(default_factory=default_stop_words)
-    unicode: bool = False
     training_stats: dict = field(default_factory=dict)
     created_at: str = ""
     model_type: str = "baseline"
@@ -75,7 +74,6 @@ class TicketClassifier:
         min_df: int = 2,
         max_df: float = 0.95,
         stop_words: Sequence[str] | None = None,
-        unicode: bool = False,
         aggregation_depth: int = 2,
     ) -> TicketClassifier:
         """Fit on ``text_clean`` and ``label``: classes weigh the same, weights
@@ -87,7 +85,7 @@ class TicketClassifier:
         """
         stop = default_stop_words() if stop_words is None else list(stop_words)
         rows = train.where(F.col("label").isNotNull()).select("text_clean", "label")
-        terms = materialize(with_terms(rows, stop_words=stop, unicode=unicode).drop("text_clean"))
+        terms = materialize(with_terms(rows, stop_words=stop).drop("text_clean"))
         vocabulary = build_vocabulary(terms, "terms", max_features, min_df, max_df)
         stages = vectorizer_stages(vocabulary)
         weights = class_weights(terms).select("label", "weight")
@@ -113,7 +111,7 @@ class TicketClassifier:
         seconds = time.monotonic() - started
         names = categories_in_order(label_map)[: fitted.numClasses]
         out = cls(
-            PipelineModel([*stages, fitted]), names, threshold, stop, unicode,
+            PipelineModel([*stages, fitted]), names, threshold, stop,
             created_at=dt.datetime.now().isoformat(),
         )
         scored = fitted.transform(vectors.select("label", "features")).select(
@@ -131,7 +129,7 @@ class TicketClassifier:
         return out
 
     def add_probabilities(self, df: DataFrame, text: str = "text_clean") -> DataFrame:
-        scored = self.model.transform(with_terms(df, text, "terms", self.stop_words, self.unicode))
+        scored = self.model.transform(with_terms(df, text, "terms", self.stop_words))
         return scored.withColumn("probabilities", vector_to_array("probability")).drop(
             "terms", "_counts", "_scaled", "features", "rawPrediction", "probability", "prediction"
         )
@@ -153,7 +151,7 @@ class TicketClassifier:
         """The fitted stages, and beside them the settings as JSON."""
         folder = folder.rstrip("/")
         self.model.write().overwrite().save(f"{folder}/model")
-        config = self.info() | {"stop_words": self.stop_words, "unicode": self.unicode}
+        config = self.info() | {"stop_words": self.stop_words}
         spark = SparkSession.getActiveSession()
         line = spark.range(1).select(F.lit(json.dumps(config)).alias("value"))
         line.write.mode("overwrite").text(f"{folder}/config")
@@ -167,7 +165,6 @@ class TicketClassifier:
             config["categories"],
             config["confidence_threshold"],
             config["stop_words"],
-            config["unicode"],
             config["training_stats"],
             config["created_at"],
         )

@@ -16,12 +16,11 @@ def clean_columns(
     min_length: int = 10,
     max_length: int = 2000,
     redact_pii: bool = True,
-    unicode: bool = False,
 ) -> DataFrame:
     """Add ``{column}_clean`` for each column present; one that already has a
     cleaned form keeps it."""
     new = {
-        f"{c}_clean": text.clean(c, min_length, max_length, redact_pii, unicode)
+        f"{c}_clean": text.clean(c, min_length, max_length, redact_pii)
         for c in columns
         if c in df.columns and f"{c}_clean" not in df.columns
     }
@@ -46,7 +45,7 @@ def clean_joined(df: DataFrame, min_length: int = 10, max_length: int = 2000) ->
     return df.withColumn("text_clean", text.clean(joined, min_length, max_length))
 
 
-def _staged(df: DataFrame, column: str, redact_pii: bool, unicode: bool) -> DataFrame:
+def _staged(df: DataFrame, column: str, redact_pii: bool) -> DataFrame:
     """One row per input row: its text after cleaning, short of the length
     gate, with the personal-data hits of each pattern on the text it saw.
 
@@ -58,7 +57,7 @@ def _staged(df: DataFrame, column: str, redact_pii: bool, unicode: bool) -> Data
         F.col(column).isNotNull().alias("given"), text.strip_non_printable(column).alias("text")
     )
     if redact_pii:
-        for kind, pattern, token, needs in text.personal_data_steps(unicode=unicode):
+        for kind, pattern, token, needs in text.personal_data_steps():
             hits = F.regexp_count("text", F.lit(pattern))
             if needs is not None:
                 hits = F.when(needs(F.col("text")), hits).otherwise(0)
@@ -75,7 +74,6 @@ def cleaning_counters(
     min_length: int = 10,
     max_length: int = 2000,
     redact_pii: bool = True,
-    unicode: bool = False,
 ) -> DataFrame:
     """Tidy counters ``(column, counter, n)`` for each column present: rows
     processed, too short, too long, truncated, empty, and hits per kind of
@@ -84,7 +82,7 @@ def cleaning_counters(
     for column in columns:
         if column not in df.columns:
             continue
-        stage = _staged(df, column, redact_pii, unicode)
+        stage = _staged(df, column, redact_pii)
         size = F.length("text")
         given = F.col("given")
         too_long = F.count_if(given & (size > max_length))

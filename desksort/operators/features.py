@@ -60,11 +60,14 @@ def default_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def words(c: Column, stop_words: Sequence[str] | None = None, unicode: bool = False) -> Column:
+# Two or more letters, digits or underscores of any script.
+WORD = r"[\p{L}\p{N}_]{2,}"
+
+
+def words(c: Column, stop_words: Sequence[str] | None = None) -> Column:
     """Lower-case, accent-free words of two or more characters, in order,
     without stop words."""
-    pattern = r"(?U)\w\w+" if unicode else r"\w\w+"
-    found = F.regexp_extract_all(strip_accents(lower_case(c)), F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(strip_accents(lower_case(c)), F.lit(WORD), F.lit(0))
     stop = default_stop_words() if stop_words is None else list(stop_words)
     return F.filter(found, lambda w: ~w.isin(stop)) if stop else found
 
@@ -87,12 +90,11 @@ def with_terms(
     text: str = "text_clean",
     out: str = "terms",
     stop_words: Sequence[str] | None = None,
-    unicode: bool = False,
 ) -> DataFrame:
     """Add the words and word pairs of ``text``."""
     # Two steps, so that the words are found once and named five times.
     return (
-        df.withColumn("_words", words(F.col(text), stop_words, unicode))
+        df.withColumn("_words", words(F.col(text), stop_words))
         .withColumn(out, with_pairs(F.col("_words")))
         .drop("_words")
     )

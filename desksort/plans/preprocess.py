@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.augment import add_synthetic
@@ -76,62 +76,64 @@ def preprocess(
     else:
         extra = synthetic if "label" in synthetic.columns else encode(synthetic, label_map)
         extra = clean_fields(extra).withColumn("combined_length", F.length("text_clean"))
-        train = add_synthetic(original.where(F.col("split") == "train").drop("split", "is_synthetic"), extra, ordinal)
-        train = train.withColumn("split", F.lit("train"))
+        # The split is read three times (held-out rows, train rows, train keys).
+        original = materialize(original)
+        train = add_synthetic(
+            original.where(F.col("split") == "train").drop("split", "is_synthetic"),
+            extra,
+            ordinal,
+            TEXTS,
+            train_is_unique=True,
+        ).withColumn("split", F.lit("train"))
         held = original.where(F.col("split") != "train")
         splits = materialize(held.unionByName(train, allowMissingColumns=True))
     return Prepared(splits, label_map, preprocessing_stats(tickets, cleaned, splits, synthetic))
 
 
-def _count(df: DataFrame, stat: str, n: Column | None = None) -> DataFrame:
-    return df.agg((F.count("*") if n is None else n).cast("long").alias("n")).select(
-        F.lit(stat).alias("stat"),
-        F.lit(None).cast("string").alias("split"),
-        F.lit(None).cast("string").alias("category"),
-        "n",
-    )
-
-
 def preprocessing_stats(
     tickets: DataFrame, cleaned: DataFrame, splits: DataFrame, synthetic: DataFrame | None
 ) -> DataFrame:
     """Rows in, kept and dropped at each step, rows per split and category, and
-    texts that meet again in another split once cleaned."""
-    given, unique = tickets.agg(F.count("*")).scalar(), F.count("*")
+    texts that meet again in another split once cleaned.
+
+    One narrow pass each over the cleaned table and the splits."""
     enough = F.col("combined_length") >= MIN_TEXT
-    final = splits.agg(F.count_if(~F.col("is_synthetic"))).scalar()
-    out = [
-        _count(cleaned, "input_tickets", F.max(given)),
-        _count(cleaned, "duplicates_removed", F.max(given) - unique),
-        _count(cleaned, "short_texts_removed", F.count_if(~enough)),
-    ]
-    # Every ticket within the band is still in a split, unless a synthetic one
-    # pushed it out, which add_synthetic rules out.
-    out.append(_count(cleaned, "extreme_cases_removed", F.count_if(enough) - F.max(final)))
+    is_extra, in_train = F.col("is_synthetic"), F.col("split") == "train"
+    steps = cleaned.agg(F.count("*").alias("unique"), F.count_if(enough).alias("enough"))
+    parts = splits.agg(
+        F.count_if(~is_extra).alias("original"),
+        F.count_if(in_train & ~is_extra).alias("train_original"),
+        F.count_if(is_extra).alias("added"),
+    )
+    leaks = leaked_texts(splits).agg(F.count_if(F.col("splits") > 1))
+    row = steps.select(
+        "*",
+        tickets.agg(F.count("*")).scalar().alias("given"),
+        parts.select(F.struct("*")).scalar().alias("p"),
+        leaks.scalar().alias("leaks"),
+    )
+    counts = {
+        "input_tickets": F.col("given"),
+        "duplicates_removed": F.col("given") - F.col("unique"),
+        "short_texts_removed": F.col("unique") - F.col("enough"),
+        # All tickets inside the band are still there: originals outlive copies.
+        "extreme_cases_removed": F.col("enough") - F.col("p.original"),
+        "original_tickets": F.col("p.original"),
+        "train_original_tickets": F.col("p.train_original"),
+        "train_augmented_tickets": F.col("p.added"),
+        "texts_in_several_splits": F.col("leaks"),
+    }
     if synthetic is not None:
-        extra = synthetic.agg(F.count("*")).scalar()
-        added = F.count_if(F.col("is_synthetic"))
-        out += [
-            _count(splits, "synthetic_tickets", F.max(extra)),
-            _count(splits, "removed_augmentation_duplicates", F.max(extra) - added),
-        ]
-    out += [
-        _count(splits, "original_tickets", F.count_if(~F.col("is_synthetic"))),
-        _count(splits, "train_original_tickets", F.count_if(
-            (F.col("split") == "train") & ~F.col("is_synthetic")
-        )),
-        _count(splits, "train_augmented_tickets", F.count_if(F.col("is_synthetic"))),
-        _count(leaked_texts(splits), "texts_in_several_splits", F.count_if(F.col("splits") > 1)),
-    ]
-    by_class = (
-        splits.groupBy("split", "category")
-        .agg(F.count("*").alias("n"))
-        .select(F.lit("tickets").alias("stat"), "split", "category", "n")
+        row = row.withColumn("extra", synthetic.agg(F.count("*")).scalar())
+        counts["synthetic_tickets"] = F.col("extra")
+        counts["removed_augmentation_duplicates"] = F.col("extra") - F.col("p.added")
+    none = F.lit(None).cast("string")
+    totals = row.select(*[v.alias(k) for k, v in counts.items()])
+    tidy = totals.unpivot([], totals.columns, "stat", "n").select(
+        "stat", none.alias("split"), none.alias("category"), "n"
     )
-    stats = out[0]
-    for part in [*out[1:], by_class]:
-        stats = stats.unionByName(part)
-    return stats
+    by_class = splits.groupBy("split", "category").agg(F.count("*").alias("n"))
+    return tidy.unionByName(by_class.select(F.lit("tickets").alias("stat"), "split", "category", "n"))
 
 
 def leaked_texts(splits: DataFrame) -> DataFrame:

@@ -83,16 +83,16 @@ PIECES = st.sampled_from([
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.lists(PIECES, max_size=25).map("".join), min_size=200, max_size=200))
 def test_cleaner_on_made_up_texts(spark, texts):
-    # Word boundaries beside accented letters depend on the dialect's classes;
-    # the Unicode form has to agree with Python everywhere.
-    got = column_of(spark, texts, lambda c: text.clean(c, unicode=True))
-    assert got == [clean(t) for t in texts]
+    assert column_of(spark, texts, text.clean) == [clean(t) for t in texts]
 
 
-def test_unicode_digits_count_only_in_unicode_mode(spark):
-    arabic = "account " + "".join(chr(0x661 + i) for i in range(7))
-    assert column_of(spark, [arabic], text.redact) == [arabic]
-    assert column_of(spark, [arabic], lambda c: text.redact(c, unicode=True)) == ["[ACCOUNT_NUMBER]"]
+def test_digits_and_letters_of_any_script(spark):
+    samples = [
+        "account " + "".join(chr(0x661 + i) for i in range(7)), "&#\u0663; x", "éid ABC1234",
+        "4111\u00a01111\u00a01111\u00a01111", "tic\u212aet abcdef1", "u\u017fer abcdef1",
+    ]
+    assert column_of(spark, samples, text.redact) == [redact(t) for t in samples]
+    assert column_of(spark, samples, text.normalize) == [normalize(t) for t in samples]
 
 
 def test_chosen_kinds_only(spark):

@@ -18,14 +18,14 @@ from tests.conftest import plan
 
 TEXTS = [
     "the cat sat on the mat mat", "a cat and a dog dog dog", "dog café naïve CAFÉ", "x y zz",
-    "", "Œuvre ﬁne straße Ångström ½ 中文字 cat", "mat cat dog", "not a b c",
+    "", "Œuvre ﬁne straße Ångström 中文字 ёлка не дом ²x cat", "mat cat dog", "not a b c",
 ]
 
 
 def tokens(text, stop):
     text = unicodedata.normalize("NFKD", text.lower())
     text = "".join(c for c in text if not unicodedata.combining(c))
-    return [w for w in re.findall(r"\w\w+", text, re.ASCII) if w not in stop]
+    return [w for w in re.findall(r"\b\w\w+\b", text) if w not in stop]
 
 
 def grams(words):
@@ -46,12 +46,10 @@ def stop(spark):
 def test_terms(terms, stop):
     got = {r["id"]: r["terms"] for r in terms.collect()}
     for i, text in enumerate(TEXTS):
-        if "Œ" not in text:
-            assert got[i] == grams(tokens(text, stop)), text
-    assert got[5][:4] == ["œuvre"[1:], "fine", "stra", "angstrom"] or "angstrom" in got[5]
+        assert got[i] == grams(tokens(text, stop)), text
 
 
-def test_accents_in_unicode_mode(spark):
+def test_accents(spark):
     words = ["Ångström", "naïve", "ﬁne", "Ǆ", "Άλφα", "ёлка", "ｆｕｌｌ", "été", "plain"]
     df = spark.createDataFrame(list(enumerate(words)), "i int, t string")
     got = df.orderBy("i").select(features.strip_accents(F.lower("t"))).collect()
