@@ -50,12 +50,12 @@ NOISE = (
 )
 
 # Whitespace as a Unicode-aware string split sees it; ``\s`` alone is ASCII.
-_NARROW = r"\t-\r\x{1c}-\x{20}\x{85}\x{a0}"
-_WIDE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-NARROW_SPACES = f"[{_NARROW}]"
-WIDE_SPACES = f"[{_WIDE}]"
-WHITESPACE = f"[{_NARROW}{_WIDE}]"
-NOT_WHITESPACE = f"[^{_NARROW}{_WIDE}]"
+NARROW_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
+WIDE_SPACES = "".join(
+    map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+WHITESPACE = f"[{NARROW_SPACES}{WIDE_SPACES}]"
+NOT_WHITESPACE = f"[^{NARROW_SPACES}{WIDE_SPACES}]"
 
 # Control, format, surrogate, private and unassigned characters, but for the
 # control characters that count as whitespace.

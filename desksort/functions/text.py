@@ -7,6 +7,7 @@ JVM. NULL counts as empty text throughout.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,13 +33,47 @@ def holds(literal: str) -> Test:
     return lambda c: F.contains(c, F.lit(literal))
 
 
-def _rewrite(c: Column, pattern: str, replacement: str, needs: Test | None = None) -> Column:
-    """Replace matches; ``needs`` is a cheap test that every text with a match
-    passes, so that the others skip the pattern."""
+def is_ascii(c: Column) -> Column:
+    return F.length(c) == F.octet_length(c)
+
+
+def may_hold_word(*words: str) -> Test:
+    """False where a text of plain ASCII has none of the words in any case;
+    other texts have letters that fold to ASCII ones, and always pass."""
+
+    def test(c: Column) -> Column:
+        lowered = F.lower(c)
+        found = F.contains(lowered, F.lit(words[0]))
+        for word in words[1:]:
+            found = found | F.contains(lowered, F.lit(word))
+        return ~is_ascii(c) | found
+
+    return test
+
+
+def has_digits(run: str) -> Test:
+    """Some run of digits of any script, ``#`` standing for a digit."""
+    return lambda c: c.rlike("(?U)" + run.replace("#", r"\d"))
+
+
+def may_hold_wide_space(c: Column) -> Column:
+    """Looks for the characters as bytes, which beats matching their class."""
+    found = F.lit(False)
+    for space in patterns.WIDE_SPACES:
+        found = found | F.contains(c, F.lit(space))
+    return ~is_ascii(c) & found
+
+
+def _rewrite(c: Column, steps: Iterable[tuple[str, str]], needs: Test | None = None) -> Column:
+    """Replace matches of each pattern in turn; ``needs`` is a cheap test that
+    every text with a match passes, so that the others skip the patterns."""
 
     def replace(x: Column) -> Column:
-        return F.regexp_replace(x, F.lit(pattern), F.lit(replacement))
+        for pattern, replacement in steps:
+            x = F.regexp_replace(x, F.lit(pattern), F.lit(replacement))
+        return x
 
+    steps = list(steps)
     if needs is None:
         return replace(c)
     return bind(c, lambda x: F.when(needs(x), replace(x)).otherwise(x))
@@ -50,7 +85,7 @@ def text_or_empty(c: Column | str) -> Column:
 
 def personal_data_steps(
     kinds: Iterable[str] | None = None,
-) -> list[tuple[str, str, str, Test | None]]:
+) -> list[tuple[str, str, str, Test]]:
     """(kind, pattern, token, needs) for the chosen kinds, in their fixed order.
 
     Word boundaries, digits, spaces and case are those of all of Unicode.
@@ -58,21 +93,21 @@ def personal_data_steps(
     wanted = set(KINDS if kinds is None else kinds)
     if unknown := wanted - set(KINDS):
         raise ValueError(f"unknown personal-data kinds: {sorted(unknown)}")
-
-    def digits(pattern: str) -> Test:
-        return lambda c: c.rlike("(?U)" + pattern)
-
+    three_digits = has_digits("#{3}")
     needs = {
         "email": holds("@"),
-        "phone": digits(r"\d{3}"),
-        "ssn": digits(r"\d{3}"),
-        "credit_card": digits(r"\d{4}"),
-        "ip_address": digits(r"\d\.\d"),
+        "phone": three_digits,
+        "ssn": three_digits,
+        "credit_card": three_digits,
+        "ip_address": has_digits(r"#\.#"),
         "url": holds("://"),
-        "account_number": digits(r"\d{6}"),
+        "ticket_id": may_hold_word("ticket", "id", "case"),
+        "invoice_id": may_hold_word("inv"),
+        "user_id": may_hold_word("user", "uid"),
+        "account_number": has_digits("#{6}"),
     }
     return [
-        (kind, "(?iuU)" + pattern, token, needs.get(kind))
+        (kind, "(?iuU)" + pattern, token, needs[kind])
         for kind, pattern, token in patterns.PERSONAL_DATA
         if kind in wanted
     ]
@@ -82,13 +117,14 @@ def redact(c: Column | str, kinds: Iterable[str] | None = None) -> Column:
     """Put a token in place of personal data. Each kind of pattern sees the
     text the one before it left."""
     out = text_or_empty(c)
-    for _, pattern, token, needs in personal_data_steps(kinds):
-        out = _rewrite(out, pattern, token, needs)
+    # Neighbours with the same test share it.
+    for needs, steps in groupby(personal_data_steps(kinds), key=lambda step: step[3]):
+        out = _rewrite(out, [(pattern, token) for _, pattern, token, _ in steps], needs)
     return out
 
 
 def strip_non_printable(c: Column | str) -> Column:
-    return _rewrite(text_or_empty(c), patterns.NON_PRINTABLE, "")
+    return _rewrite(text_or_empty(c), [(patterns.NON_PRINTABLE, "")])
 
 
 def _strip_markup(c: Column, rules: Iterable[tuple[str, str]]) -> Column:
@@ -98,7 +134,7 @@ def _strip_markup(c: Column, rules: Iterable[tuple[str, str]]) -> Column:
             # A plain string: no pattern matching needed.
             c = F.replace(c, F.lit(pattern), F.lit(replacement))
         else:
-            c = _rewrite(c, "(?U)" + pattern, replacement, needs.get(pattern))
+            c = _rewrite(c, [("(?U)" + pattern, replacement)], needs.get(pattern))
     return c
 
 
@@ -111,21 +147,16 @@ def squeeze_noise(c: Column | str) -> Column:
     for pattern, replacement in patterns.NOISE:
         # A pattern reads: a character, perhaps escaped, and its least number.
         char, least = pattern.lstrip("\\")[0], int(pattern[-3])
-        out = _rewrite(out, pattern, replacement, holds(char * least))
+        out = _rewrite(out, [(pattern, replacement)], holds(char * least))
     return out
 
 
 def collapse_whitespace(c: Column | str) -> Column:
     """Runs of whitespace to one space, none at the ends."""
-    # Wide spaces first, in texts that can hold any: the class of the second
-    # pattern is then a table look-up per character.
-    out = bind(
-        text_or_empty(c),
-        lambda x: F.when(F.length(x) == F.octet_length(x), x).otherwise(
-            F.regexp_replace(x, F.lit(patterns.WIDE_SPACES), F.lit(" "))
-        ),
-    )
-    return F.trim(_rewrite(out, patterns.NARROW_SPACES + "+", " "))
+    # Wide spaces apart: without them the class is one table look-up a character.
+    wide = [(f"[{patterns.WIDE_SPACES}]", " ")]
+    out = _rewrite(text_or_empty(c), wide, may_hold_wide_space)
+    return F.trim(_rewrite(out, [(f"[{patterns.NARROW_SPACES}]+", " ")]))
 
 
 def lower_case(c: Column | str) -> Column:

@@ -58,9 +58,7 @@ def _staged(df: DataFrame, column: str, redact_pii: bool) -> DataFrame:
     )
     if redact_pii:
         for kind, pattern, token, needs in text.personal_data_steps():
-            hits = F.regexp_count("text", F.lit(pattern))
-            if needs is not None:
-                hits = F.when(needs(F.col("text")), hits).otherwise(0)
+            hits = F.when(needs(F.col("text")), F.regexp_count("text", F.lit(pattern))).otherwise(0)
             replaced = F.regexp_replace("text", F.lit(pattern), F.lit(token))
             stage = stage.withColumn(f"hits_{kind}", hits).withColumn(
                 "text", F.when(F.col(f"hits_{kind}") > 0, replaced).otherwise(F.col("text"))

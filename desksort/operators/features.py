@@ -16,7 +16,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import lower_case
+from ..functions.text import is_ascii, lower_case
 
 
 @lru_cache(maxsize=1)
@@ -53,7 +53,7 @@ def strip_accents(c: Column) -> Column:
     for joined, apart in _ligatures().items():
         stripped = F.replace(stripped, F.lit(joined), F.lit(apart))
     # Most text is plain ASCII and needs none of this.
-    return F.when(F.length(c) == F.octet_length(c), c).otherwise(stripped)
+    return F.when(is_ascii(c), c).otherwise(stripped)
 
 
 def default_stop_words() -> list[str]:

@@ -59,14 +59,15 @@ def preprocess(
     """Deduplicate, clean, drop short and extreme texts, label, split, and add
     synthetic tickets to train.
 
-    The cleaned tickets are written once; the length band, the labels, the
-    split's cuts and the output all read that table, each only the columns it
-    needs. The split itself moves no rows.
+    The cleaned tickets are written once, and the splits once; what lies
+    between reads the cleaned table, only the columns it needs, and leaves
+    tables of a few rows (length band, label map, cuts). The split itself moves
+    no rows.
     """
     cleaned = materialize(clean_unique(tickets, ordinal))
     enough = long_enough(cleaned)
-    band = length_band(enough, "combined_length")
-    kept = materialize(keep_band(enough, "combined_length", band))
+    band = materialize(length_band(enough, "combined_length"))
+    kept = keep_band(enough, "combined_length", band)
     label_map = materialize(build_label_map(kept))
     labelled = encode(kept, label_map)
     split = stratified_split(labelled, "category", ticket_id, seed, held_out, test_share)
@@ -76,8 +77,6 @@ def preprocess(
     else:
         extra = synthetic if "label" in synthetic.columns else encode(synthetic, label_map)
         extra = clean_fields(extra).withColumn("combined_length", F.length("text_clean"))
-        # The split is read three times (held-out rows, train rows, train keys).
-        original = materialize(original)
         train = add_synthetic(
             original.where(F.col("split") == "train").drop("split", "is_synthetic"),
             extra,
