@@ -40,11 +40,15 @@ def first_rows(df: DataFrame, n: int, ordinal: str = "ordinal") -> DataFrame:
     return df.where(F.col(ordinal) < n)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, scan: DataFrame | None = None) -> DataFrame:
     """Deal rows out by key when the scan has fewer splits than the cluster has
     cores (one big row group, files that cannot be split). A scan with enough
-    splits is returned as it is, so large inputs pay no shuffle."""
+    splits is returned as it is, so large inputs pay no shuffle.
+
+    ``scan`` is the bare scan below ``df`` where ``df`` has joins or groups:
+    counting the splits of those would run them.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if (df if scan is None else scan).rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores, *keys)

@@ -46,7 +46,7 @@ def read_ticket_csv(
     cells = [
         F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in raw.columns
     ]
-    return spread(numbered.select(*cells, ordinal), ordinal)
+    return spread(numbered.select(*cells, ordinal), ordinal, scan=raw)
 
 
 def detect_columns(
