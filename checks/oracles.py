@@ -6,10 +6,7 @@ the rows, ranks with window functions, quantiles by the database.
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
-
-import pyspark
+import re
 
 from desksort import taxonomy
 from desksort.functions import patterns
@@ -17,6 +14,7 @@ from desksort.sources.feeds import MISSING_CELLS
 
 from . import fixtures as fx
 from .fixtures import quoted
+from .stop_words import STOP_WORDS
 
 ORACLES: dict[str, str] = {}
 
@@ -610,17 +608,8 @@ SELECT conv_id, count(*) OVER (PARTITION BY conv_id) AS count,
 
 # --- features and models -------------------------------------------------
 
-
-
-def stop_words() -> list[str]:
-    """Spark's own list, out of its jar, so that no session is needed."""
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as content:
-        text = content.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-    return [w for w in text.split("\n") if w]
-
-
-STOP = ", ".join(quoted(w) for w in stop_words())
+# The list goes through the same cutting into words as the texts.
+STOP = ", ".join(quoted(w) for w in sorted({w for s in STOP_WORDS for w in re.findall(r"\w{2,}", s)}))
 WORDS = f"""words AS (
   SELECT doc_id, list_filter(regexp_extract_all(strip_accents(lower(text)), '[\\p{{L}}\\p{{N}}_]{{2,}}'),
                              lambda w: NOT list_contains([{STOP}], w)) AS w FROM documents),

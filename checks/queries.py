@@ -26,6 +26,7 @@ from desksort.sources import feeds, payloads
 from desksort.streaming import tickets as streaming
 
 from . import fixtures as fx
+from .stop_words import STOP_WORDS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -660,12 +661,12 @@ def batch_envelopes(spark, sf):
 
 
 def _terms(spark, sf) -> DataFrame:
-    return features.with_terms(fx.documents(spark, sf), "text").select("doc_id", "terms")
+    return features.with_terms(fx.documents(spark, sf), "text", stop_words=STOP_WORDS).select("doc_id", "terms")
 
 
 @query
 def document_words(spark, sf):
-    found = features.words(F.col("text"))
+    found = features.words(F.col("text"), STOP_WORDS)
     return fx.documents(spark, sf).select("doc_id", F.array_join(found, " ").alias("words"))
 
 

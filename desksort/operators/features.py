@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
@@ -64,11 +65,20 @@ def default_stop_words() -> list[str]:
 WORD = r"[\p{L}\p{N}_]{2,}"
 
 
+def _analyzed(stop_words: Sequence[str]) -> list[str]:
+    """Stop words cut as texts are: "isn't" stops "isn", its only word here."""
+    plain = "".join(
+        c for c in unicodedata.normalize("NFKD", "\n".join(stop_words).lower())
+        if not unicodedata.combining(c)
+    )
+    return sorted(set(re.findall(r"\w{2,}", plain)))
+
+
 def words(c: Column, stop_words: Sequence[str] | None = None) -> Column:
     """Lower-case, accent-free words of two or more characters, in order,
     without stop words."""
     found = F.regexp_extract_all(strip_accents(lower_case(c)), F.lit(WORD), F.lit(0))
-    stop = default_stop_words() if stop_words is None else list(stop_words)
+    stop = _analyzed(default_stop_words() if stop_words is None else stop_words)
     return F.filter(found, lambda w: ~w.isin(stop)) if stop else found
 
 
