@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, sharding
+from . import chat, mixing, quality_rules, sharding
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,22 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_quality_rules(spark, sf):
+    rows = quality_rules.apply_rules(table(spark, sf, "documents"))
+    return rows.select(
+        F.col("row.doc_id").alias("doc_id"),
+        F.col("stats.words").alias("n_words"),
+        F.col("stats.word_chars").alias("word_chars"),
+        F.col("stats.symbols").alias("n_symbols"),
+        F.col("stats.dup_lines").alias("n_dup_lines"),
+        F.col("stats.repeat_words").alias("n_repeat_words"),
+        F.col("failed").alias("base_failed"),
+        "kept",
+        F.round("distance", 3).alias("distance"),
+    )
+
+
 @query
 def op7_mixing(spark, sf):
     return mixing.mixed(table(spark, sf, "documents")).select(
