@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality_rules, sharding
+from . import bpe, chat, mixing, quality_rules, sharding
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,17 @@ def op1_quality_rules(spark, sf):
     )
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op3_bpe(spark, sf):
+    return bpe.encode_documents(table(spark, sf, "documents"), tokenizer_path(), digests=True)
+
+
 @query
 def op7_mixing(spark, sf):
     return mixing.mixed(table(spark, sf, "documents")).select(
