@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, mixing, quality_rules, sharding
-from .common import table
+from . import bpe, chat, mixing, quality_classifier, quality_rules, sharding
+from .common import crc_of_id, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,6 +46,17 @@ def op3_bpe(spark, sf):
     return bpe.encode_documents(table(spark, sf, "documents"), tokenizer_path(), digests=True)
 
 
+def held_out(folds: int, remainder: int):
+    return F.pmod(crc_of_id(F.col("doc_id")), F.lit(folds)) == remainder
+
+
+@query
+def op5_quality_classifier(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    scored = quality_classifier.score_documents(table(spark, sf, "documents"), labels)
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
 @query
 def op7_mixing(spark, sf):
     return mixing.mixed(table(spark, sf, "documents")).select(
