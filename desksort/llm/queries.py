@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, mixing, quality_classifier, quality_rules, sharding
+from . import bpe, chat, jaccard, mixing, quality_classifier, quality_rules, sharding
 from .common import crc_of_id, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,11 @@ def op3_bpe(spark, sf):
     return bpe.encode_documents(table(spark, sf, "documents"), tokenizer_path(), digests=True)
 
 
+@query
+def op4_jaccard(spark, sf):
+    return jaccard.linked_documents(table(spark, sf, "documents"))
+
+
 def held_out(folds: int, remainder: int):
     return F.pmod(crc_of_id(F.col("doc_id")), F.lit(folds)) == remainder
 
