@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, mixing, quality_classifier, quality_rules, sharding
+from . import bpe, chat, jaccard, mixing, quality_classifier, quality_rules, sharding, toxicity
 from .common import crc_of_id, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,10 @@ def op9_chat(spark, sf):
         F.length(loss).cast("long").alias("loss_chars"), digest(loss).alias("loss_sha256"),
         "formatted_chars", "n_windows",
     )
+
+
+@query
+def op10_toxicity(spark, sf):
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    scored = toxicity.score_documents(table(spark, sf, "documents"), labels)
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted", "evidence")
