@@ -14,8 +14,9 @@ every example; equal cosines go to the smaller id.
 
 The model comes from a bounded sample of labelled rows, a parameter: per class at
 most ``examples`` rows, and at most ``calibration`` others, those whose ids hash
-lowest. So the index fits into memory at any size, and is broadcast. All
-documents are scored, whole.
+lowest. So the index fits into memory at any size, and is broadcast. All documents
+are scored, whole. The calibration keeps texts with one, two, and more chosen
+terms apart: a single one may stand there by chance.
 
 Defined cases: null and empty texts, and texts without a chosen term, have the
 zero vector and the rate of such rows as score; null labels are no labels; a
@@ -43,6 +44,7 @@ TERM = re.compile(r"\w+")
 BLOCK = 64
 NEAREST = 16
 CELLS = 1000
+RICH = 3  # chosen terms in a text beyond which more are not told apart
 MOST_TERMS = 4096
 FEWEST_TERMS = 8
 
@@ -121,13 +123,15 @@ class Index:
         best = np.lexsort((self.ids[places], -np.round(cosines, 9)))[:k]
         return places[best], cosines[best]
 
-    def vote(self, text: str | None) -> tuple[float, np.ndarray, np.ndarray]:
-        """The weighted share of toxic neighbours (-1: none), and the neighbours."""
-        places, cosines = self.nearest(*self.vector(text))
+    def vote(self, text: str | None) -> tuple[int, float, np.ndarray, np.ndarray]:
+        """How many chosen terms the text has (0 if no example is near, RICH for
+        more), the weighted share of toxic neighbours, and the neighbours."""
+        at, w = self.vector(text)
+        places, cosines = self.nearest(at, w)
         if not len(places):
-            return -1.0, places, cosines
+            return 0, 0.0, places, cosines
         near = 1 / (np.maximum(1 - cosines, 0) + 0.05)
-        return float(near @ self.labels[places] / near.sum()), places, cosines
+        return min(len(at), RICH), float(near @ self.labels[places] / near.sum()), places, cosines
 
 
 def _samples(labels: DataFrame, label: str, folds: int, held_out: int, examples: int, calibration: int):
@@ -166,8 +170,11 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def choose_terms(rows: DataFrame, level: float = 0.01) -> dict[str, float]:
-    """idf of the terms that tell the classes apart. rows: text, y."""
+def choose_terms(rows: DataFrame, level: float = 0.01, support: float = 0.005) -> dict[str, float]:
+    """idf of the terms that tell the classes apart. rows: text, y.
+
+    A term must occur in ``support`` of the documents of a class: what only a
+    group of near copies shares tells nothing about other documents."""
     counted = rows.mapInArrow(_count_terms, "term string, n long, ones long")
     counted = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
     counted = stored(counted, "toxicity-terms")
@@ -180,8 +187,10 @@ def choose_terms(rows: DataFrame, level: float = 0.01) -> dict[str, float]:
     spread = F.col("n") * toxic * (every - F.col("n")) * (every - toxic)
     chi = F.when(spread > 0, off * off * every / spread).otherwise(F.lit(math.inf))
     chi = F.when(F.col("n") < every, chi).otherwise(0.0)
+    of_ones, of_others = F.col("ones") / toxic, (F.col("n") - F.col("ones")) / (every - toxic)
+    common = F.greatest(of_ones, of_others) >= support
     best = (
-        counted.where(F.col("term").isNotNull()).select("term", "n", chi.alias("chi"))
+        counted.where(F.col("term").isNotNull() & common).select("term", "n", chi.alias("chi"))
         .orderBy(F.desc("chi"), "term").limit(MOST_TERMS).collect()
     )
     least = NormalDist().inv_cdf(1 - level / distinct / 2) ** 2
@@ -192,13 +201,13 @@ def choose_terms(rows: DataFrame, level: float = 0.01) -> dict[str, float]:
 
 
 class Model:
-    def __init__(self, index: Index, knots, values, without: float):
-        self.index, self.knots, self.values, self.without = index, knots, values, without
+    """curves: for 0 to RICH terms, knots and values of the calibration."""
+
+    def __init__(self, index: Index, curves: list[tuple[np.ndarray, np.ndarray]]):
+        self.index, self.curves = index, curves
 
-    def score(self, vote: float) -> float:
-        if vote < 0:
-            return self.without
-        return float(np.interp(vote, self.knots, self.values))
+    def score(self, rich: int, vote: float) -> float:
+        return float(np.interp(vote, *self.curves[rich]))
 
 
 def fit(
@@ -237,21 +246,30 @@ def fit(
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [round(shared.value.vote(t.as_py())[0] * CELLS) for t in batch.column(0)]
-            yield pa.RecordBatch.from_pydict({"cell": pa.array(found, pa.int32()), "y": batch.column(1)})
-
-    held = docs.join(F.broadcast(other), "doc_id").select("text", "y").mapInArrow(votes, "cell int, y int")
-    cells = held.groupBy("cell").agg(F.count("*").alias("n"), F.sum("y").alias("ones")).collect()
-    without = next((r for r in cells if r["cell"] < 0), None)
-    cells = sorted((r for r in cells if r["cell"] >= 0), key=lambda r: r["cell"])
-    knots, values = np.array([0.0, 1.0]), np.array([0.0, 1.0])
-    if cells:
-        knots, values = isotonic(
-            np.array([r["cell"] / CELLS for r in cells]), np.array([float(r["n"]) for r in cells]),
-            np.array([float(r["ones"]) for r in cells]),
-        )
-    rate = (without["ones"] + 0.5) / (without["n"] + 1) if without else 0.5
-    return Model(index, knots, values, rate)
+            found = [shared.value.vote(t.as_py())[:2] for t in batch.column(0)]
+            yield pa.RecordBatch.from_pydict(
+                {"rich": pa.array([r for r, _ in found], pa.int32()),
+                 "cell": pa.array([round(v * CELLS) for _, v in found], pa.int32()), "y": batch.column(1)}
+            )
+
+    held = docs.join(F.broadcast(other), "doc_id").select("text", "y")
+    held = held.mapInArrow(votes, "rich int, cell int, y int").groupBy("rich", "cell")
+    cells = held.agg(F.count("*").alias("n"), F.sum("y").alias("ones")).collect()
+    curves = []
+    for rich in range(RICH + 1):
+        own = sorted((r for r in cells if r["rich"] == rich), key=lambda r: r["cell"])
+        if own:
+            curves.append(
+                isotonic(
+                    np.array([r["cell"] / CELLS for r in own]), np.array([float(r["n"]) for r in own]),
+                    np.array([float(r["ones"]) for r in own]),
+                )
+            )
+        elif rich:  # nothing to calibrate with: the vote itself
+            curves.append((np.array([0.0, 1.0]), np.array([0.0, 1.0])))
+        else:
+            curves.append((np.array([0.0]), np.array([0.5])))
+    return Model(index, curves)
 
 
 def score_documents(
@@ -270,8 +288,8 @@ def score_documents(
         for batch in batches:
             scores, near = [], []
             for one in batch.column(1):
-                vote, places, cosines = model.index.vote(one.as_py())
-                scores.append(model.score(vote))
+                rich, vote, places, cosines = model.index.vote(one.as_py())
+                scores.append(model.score(rich, vote))
                 near.append(
                     [
                         {"doc_id": int(model.index.ids[p]), "similarity": float(c), "label": int(model.index.labels[p])}
