@@ -15,6 +15,7 @@ names.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections import Counter
 from collections.abc import Iterator
@@ -177,7 +178,7 @@ class Codec:
             )
 
 
-_codecs: dict[int, Codec] = {}
+_codecs: dict[str, Codec] = {}
 
 
 def encode_documents(
@@ -190,18 +191,18 @@ def encode_documents(
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_tokens, and ids (array) and decoded text, or
     with ``digests`` the SHA-256 of the ids joined by commas and of that text."""
-    import hashlib
-
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     blob = build_lexicon(read_model(tokenizer_path), frequent_words(source.select("text"), lexicon_words))
     shared = spark.sparkContext.broadcast(blob)  # bounded by the lexicon's size
 
+    key = hashlib.sha256(blob).hexdigest()
+
     def codec() -> Codec:
-        if shared.id not in _codecs:
+        if key not in _codecs:
             _codecs.clear()
-            _codecs[shared.id] = Codec(shared.value)
-        return _codecs[shared.id]
+            _codecs[key] = Codec(shared.value)
+        return _codecs[key]
 
     def hexed(value: str) -> str:
         return hashlib.sha256(value.encode()).hexdigest()
