@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, mixing, quality_classifier, quality_rules, sharding, toxicity
+from . import (
+    bpe, chat, jaccard, mixing, parsing, quality_classifier, quality_rules, sharding, toxicity,
+)
 from .common import crc_of_id, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +64,11 @@ def op5_quality_classifier(spark, sf):
     return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", "predicted")
 
 
+@query
+def op6_fingerprints(spark, sf):
+    return parsing.fingerprint_documents(table(spark, sf, "documents"))
+
+
 @query
 def op7_mixing(spark, sf):
     return mixing.mixed(table(spark, sf, "documents")).select(
