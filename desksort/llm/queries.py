@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, chat, jaccard, mixing, parsing, quality_classifier, quality_rules, sharding, toxicity,
+    bpe, chat, jaccard, language_model, mixing, parsing, quality_classifier, quality_rules, sharding,
+    toxicity,
 )
 from .common import crc_of_id, table
 
@@ -37,6 +38,11 @@ def op1_quality_rules(spark, sf):
     )
 
 
+@query
+def op2_language_model(spark, sf):
+    return language_model.score_documents(table(spark, sf, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
