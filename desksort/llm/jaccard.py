@@ -34,6 +34,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -138,8 +139,6 @@ def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _table_of_counts(facts: DataFrame) -> np.ndarray:
     """The sum of all tasks' counts; its size is fixed."""
-    import pandas as pd
-
     def added(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(1 << CHUNK, dtype=np.int64)
         for bins, counts in zip(rows["bins"], rows["counts"]):
@@ -409,26 +408,71 @@ def _set_components(docs: DataFrame, sets: DataFrame, table: np.ndarray, percent
     return placed if more.isEmpty() else components(links.union(more))
 
 
-def linked_documents(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT
-) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id."""
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _grouped(source: DataFrame, percent: int) -> DataFrame:
+    """doc_id, n, name, component (null without shingles) of rows of doc_id, text."""
     facts = stored(source.mapInArrow(_facts, FACTS), "jaccard-facts")
     rows = facts.where("kind = 0").select("doc_id", "n", "name")
     lowest = F.coalesce("doc_id", F.lit(-(2**63)))
     # One text of each set: the key finds it again, null ids share one.
     sets = stored(
-        rows.where("n > 0").groupBy("name").agg(F.min("doc_id").alias("least"), F.min(lowest).alias("key")),
-        "jaccard-sets",
+        rows.where("n > 0").groupBy("name").agg(F.min(lowest).alias("key")), "jaccard-sets"
     )
     placed = _set_components(source.withColumn("key", lowest), sets, _table_of_counts(facts), percent)
-    of_set = sets.join(placed.withColumnRenamed("vertex", "name"), "name", "left").select(
-        "name", "least", F.coalesce("component", "name").alias("component")
+    return rows.join(placed.withColumnRenamed("vertex", "name"), "name", "left").select(
+        "doc_id", "n", "name", F.coalesce("component", "name").alias("component")
     )
-    least = of_set.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = of_set.join(least, "component").select("name", "component_id")
-    return rows.join(ids, "name", "left").select(
+
+
+def linked_documents(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id."""
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = stored(_grouped(source, percent), "jaccard-grouped")
+    least = rows.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(least, "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row of ``docs`` of each component: that with the smallest id, null ids
+    last, then the smallest set name; of rows alike in both, that with the smallest
+    hash. Rows with an empty set all stay. Rows are not shuffled while the list of
+    those to drop is small enough to be sent to every task."""
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = stored(_grouped(source, percent).where("n > 0"), "jaccard-grouped")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "name")
+    best = rows.groupBy("component").agg(F.min(rank).alias("best"))
+    judged = rows.join(best, "component").withColumn("stays", rank == F.col("best"))
+    counted = stored(judged.groupBy("doc_id", "name", "stays").count(), "jaccard-judged")
+    gone = counted.where("NOT stays").select("doc_id", "name")
+    again = counted.where("stays AND count > 1").select("doc_id", "name")
+
+    @F.pandas_udf("long")
+    def name_of(texts: pd.Series) -> pd.Series:
+        found = (shingles(t) for t in texts)
+        return pd.Series([set_name(f) if len(f) else None for f in found], dtype="Int64")
+
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(doc_id).cast("long").alias("doc_id"), name_of(F.col(text)).alias("name"),
+    )
+
+    def same(other: str) -> Column:
+        return (F.col("k.name") == F.col(f"{other}.name")) & F.col("k.doc_id").eqNullSafe(F.col(f"{other}.doc_id"))
+
+    def sent(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+    kept = packed.alias("k").join(sent(gone).alias("g"), same("g"), "left_anti")
+    if again.isEmpty():
+        return kept.select("row.*")
+    marked = kept.join(sent(again.withColumn("repeats", F.lit(True))).alias("a"), same("a"), "left").select(
+        "k.*", "a.repeats"
+    )
+    one = marked.where("repeats").groupBy("doc_id", "name").agg(
+        F.min_by("row", F.struct(F.xxhash64(F.to_json("row")), F.to_json("row"))).alias("row")
+    )
+    return marked.where("repeats IS NULL").select("row").union(one.select("row")).select("row.*")
