@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import word_count
+from .common import joined, stored, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 LARGEST_RATE = 3.0
@@ -90,22 +90,21 @@ def mixed(
     """One row per row of ``docs``: row (all its columns), size, source_size,
     target, copies (how often the mix takes it).
 
-    The join meets a table of one row per source; Spark broadcasts it while it
-    is small, and else splits a source that holds too many of the rows.
+    The join meets a table of one row per source, broadcast if counted to be
+    small, and else repeated so that a large source's rows are dealt out.
     """
     sized = docs.select(
         F.struct("*").alias("row"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
     )
     # The sums read only the two columns they need.
-    targets = source_targets(sized.select("source", "size"), weights, largest_rate)
-    joined = sized.alias("d").join(
-        targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")), "left"
+    targets = stored(
+        source_targets(sized.select("source", "size"), weights, largest_rate), "mix-targets"
     )
     # 0 / 0 is a source without words. A capped source has exactly the cap.
-    rate = F.when(F.col("t.source_size") > 0, F.col("t.target") / F.col("t.source_size")).otherwise(0.0)
-    more = draw(F.col(f"d.row.{doc_id}"), seed) < rate - F.floor(rate)
-    return joined.select(
-        "d.row", "d.size", "t.source_size", "t.target",
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    more = draw(F.col(f"row.{doc_id}"), seed) < rate - F.floor(rate)
+    return joined(sized, targets, ["source"], "left").select(
+        "row", "size", "source_size", "target",
         (F.floor(rate) + more.cast("long")).cast("long").alias("copies"),
     )
 

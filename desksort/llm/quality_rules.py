@@ -34,7 +34,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import joined, stored
 from .textstats import with_statistics
 
 UNIT = 1024
@@ -221,21 +221,18 @@ def estimates(
 ) -> DataFrame:
     """lang, source, p (centre, triangle), from rows of lang, source, vector."""
     groups = stored(_groups(rows, least_rows), "rule-groups")
-    same = lambda a, b: F.col(f"{a}").eqNullSafe(F.col(f"{b}"))
     vectors = stored(
-        rows.alias("r")
-        .join(groups.alias("g"), same("r.lang", "g.lang") & same("r.source", "g.source"))
-        .select("g.group", "r.vector"),
-        "rule-vectors",
+        joined(rows, groups, ["lang", "source"]).select("group", "vector"), "rule-vectors"
     )
     within = chi_square_quantile(coverage, D)
     scale = coverage / chi_square_cdf(within, D + 2)
     params = stored(_start(vectors), "rule-step")
     bins = F.floor(8 * F.log2(_distance() + F.lit(1e-6))).cast("int")
     for _ in range(steps):
-        far = vectors.join(params, "group").select("group", "vector", bins.alias("bin"))
-        cut = _first_bin(far.groupBy("group", "bin").agg(F.count("*").alias("n")), ["group"], [coverage])
-        chosen = far.join(cut, "group").where(F.col("bin") <= F.col("b0"))
+        far = joined(vectors, params, ["group"]).select("group", "vector", bins.alias("bin"))
+        counted = far.groupBy("group", "bin").agg(F.count("*").alias("n"))
+        cut = stored(_first_bin(counted, ["group"], [coverage]), "rule-cut")
+        chosen = joined(far, cut, ["group"]).where(F.col("bin") <= F.col("b0"))
         params = stored(_estimate(_moments(chosen), scale), "rule-step")
     return groups.join(params, "group").select("lang", "source", "p")
 
@@ -243,11 +240,8 @@ def estimates(
 def judged(rows: DataFrame, params: DataFrame, tail: float = 1e-6) -> DataFrame:
     """Add distance (null where nothing was estimated), cutoff and kept."""
     cutoff = chi_square_quantile(1 - tail, D)
-    same = lambda c: F.col(f"r.{c}").eqNullSafe(F.col(f"e.{c}"))
     return (
-        rows.alias("r")
-        .join(params.alias("e"), same("lang") & same("source"), "left")
-        .select("r.*", "e.p")
+        joined(rows, params, ["lang", "source"], "left")
         .withColumn("distance", _distance())
         .withColumn(
             "kept", ~F.col("failed") & F.coalesce(F.col("distance") <= F.lit(cutoff), F.lit(True))
@@ -267,8 +261,8 @@ def apply_rules(
 ) -> DataFrame:
     """Per row of ``docs``: row.doc_id, stats, failed, distance, kept."""
     rows = stored(measured(docs, [doc_id], text, lang, source), "rule-rows")
-    params = estimates(rows.where(~F.col("failed")).select("lang", "source", "vector"), **settings)
-    return judged(rows, params, tail)
+    fitted = estimates(rows.where(~F.col("failed")).select("lang", "source", "vector"), **settings)
+    return judged(rows, stored(fitted, "rule-estimates"), tail)
 
 
 def keep_good(
