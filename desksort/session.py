@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +54,24 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def ship_package(spark: SparkSession, folder: str = os.path.dirname(os.path.abspath(__file__))) -> None:
+    """Have the executors' Python import this package, or another by its folder,
+    as the driver does. Sent once per Spark context, as a zip of its sources."""
+    done = _shipped.setdefault(spark.sparkContext, set())
+    if folder in done:
+        return
+    name = os.path.basename(folder)
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp()), f"{name}-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for top, _, files in os.walk(folder):
+            for file in files:
+                if file.endswith(".py"):
+                    whole = os.path.join(top, file)
+                    archive.write(whole, os.path.join(name, os.path.relpath(whole, folder)))
+    spark.sparkContext.addPyFile(path)
+    done.add(folder)
