@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from . import lexicon
 
 # Fixed by the tokenizer: how text is cut before merging.
@@ -192,6 +193,7 @@ def encode_documents(
     """Per row of ``docs``: doc_id, n_tokens, and ids (array) and decoded text, or
     with ``digests`` the SHA-256 of the ids joined by commas and of that text."""
     spark = docs.sparkSession
+    ship_package(spark)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     blob = build_lexicon(read_model(tokenizer_path), frequent_words(source.select("text"), lexicon_words))
     shared = spark.sparkContext.broadcast(blob)  # bounded by the lexicon's size

@@ -41,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .common import stored
 from .components import components
 
@@ -50,7 +51,8 @@ BINS = 18  # bits of the table of counts
 CHUNK = 14  # bits of it that travel together
 SHORT = 32  # entries of a list whose pairs are given at once
 PART = 100_000  # entries of a list from which it is dealt out in parts
-SEEDS = (1, 2, 3)
+SEEDS = (1, 2, 3)  # of the rounds of pivots
+PIVOTS = 3  # that a set is compared with in a round
 REMEMBERED = 400_000  # word hashes that a worker keeps
 BROADCAST_IDS = 1_000_000
 
@@ -282,7 +284,7 @@ def _few_or_join(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 def _needed_sets(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
     """name, members (sorted hashes as bytes) of the named sets, out of one text each."""
-    ids = names.join(sets, "name").select("key").distinct()
+    ids = stored(names.join(sets, "name").select("key").distinct(), "jaccard-keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,11 +295,15 @@ def _needed_sets(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFram
             )
 
     texts = _few_or_join(docs.select("key", "text"), ids, "key").select("text")
-    return texts.mapInArrow(run, "name long, members binary").dropDuplicates(["name"])
+    members = texts.mapInArrow(run, "name long, members binary")
+    # Only where ids repeat is there more than one text of a key.
+    once = _few_or_join(docs.select("key"), ids, "key").count() <= ids.count()
+    return members if once else members.dropDuplicates(["name"])
 
 
 def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, decided on both whole sets."""
+    """The pairs (a, b) that link, decided on both whole sets. Each b brings its
+    set to its few a; sets that no pair names stay where they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,9 +319,12 @@ def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 {"a": batch.column(0).take(pa.array(kept, pa.int32())), "b": batch.column(1).take(pa.array(kept, pa.int32()))}
             )
 
-    one = pairs.join(members.select(F.col("name").alias("a"), F.col("members").alias("x")), "a")
-    two = one.join(members.select(F.col("name").alias("b"), F.col("members").alias("y")), "b")
-    return two.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    def named(c: str, as_c: str) -> DataFrame:
+        needed = pairs.select(F.col(c).alias("name")).distinct()
+        return _few_or_join(members, needed, "name").select(F.col("name").alias(c), F.col("members").alias(as_c))
+
+    found = pairs.join(named("b", "y"), "b").join(named("a", "x"), "a")
+    return found.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
 def _may_link(n: Column, p: Column, m: Column, q: Column, percent: int) -> Column:
@@ -324,43 +333,41 @@ def _may_link(n: Column, p: Column, m: Column, q: Column, percent: int) -> Colum
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * rest >= percent * (n + m))
 
 
-def _pair(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _lowest(pairs: DataFrame, seed: int, most: int) -> DataFrame:
+    """Of each b's pairs (a, b), those whose a hash lowest: the same few a serve
+    many b."""
+    ranked = F.array_sort(F.collect_set(F.struct(F.xxhash64("a", F.lit(seed)).alias("h"), "a")))
+    chosen = pairs.groupBy("b").agg(F.slice(ranked, 1, most).alias("chosen"))
+    return chosen.select("b", F.explode("chosen.a").alias("a")).select("a", "b")
 
 
-def _pivot_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """Each entry of a long list with the list's pivots: for each seed, the set
-    whose name hashes lowest."""
-    chosen = [
-        F.min(F.struct(F.xxhash64("name", F.lit(s)).alias("h"), "name", "size", "pos")).alias(f"p{s}") for s in SEEDS
-    ]
-    pivots = entries.groupBy("hash").agg(*chosen).select(
-        "hash", F.array_distinct(F.array(*[f"p{s}" for s in SEEDS])).alias("pivots")
+def _placed(entries: DataFrame, placed: DataFrame | None) -> DataFrame:
+    """Entries with the component of their set: itself until it is placed."""
+    if placed is None:
+        return entries.withColumn("component", F.col("name"))
+    return entries.join(placed.withColumnRenamed("vertex", "name"), "name", "left").withColumn(
+        "component", F.coalesce("component", "name")
     )
-    near = entries.join(pivots, "hash").select(
-        "name", "size", "pos",
-        F.explode(
-            F.filter(
-                "pivots",
-                lambda p: (p["name"] != F.col("name"))
-                & _may_link(F.col("size"), F.col("pos"), p["size"], p["pos"], percent),
-            )
-        ).alias("p"),
+
+
+def _pivot_pairs(entries: DataFrame, seed: int, percent: int) -> DataFrame:
+    """Pairs of a long list's pivot (a), the set whose name hashes lowest, and an
+    entry of another component (b): a few for each entry over all its lists."""
+    pivot = F.min(F.struct(F.xxhash64("name", F.lit(seed)).alias("h"), "name", "size", "pos", "component"))
+    pivots = entries.groupBy("hash").agg(pivot.alias("p"))
+    pairs = entries.join(pivots, "hash").where(
+        (F.col("p.component") != F.col("component"))
+        & _may_link(F.col("size"), F.col("pos"), F.col("p.size"), F.col("p.pos"), percent)
     )
-    return near.select(*_pair(F.col("name"), F.col("p.name")))
+    return _lowest(pairs.select(F.col("p.name").alias("a"), F.col("name").alias("b")), seed, PIVOTS)
 
 
-def _outside_pairs(entries: DataFrame, placed: DataFrame, percent: int) -> DataFrame:
+def _outside_pairs(known: DataFrame, percent: int) -> DataFrame:
     """What pivots leave open in long lists: sets outside the list's largest
-    component, with all sets of another component in their list whose size block
-    is theirs or next to it."""
+    component (b), with all sets of another component in their list (a) whose size
+    block is theirs or next to it."""
     band = F.floor(F.log("size") / F.lit(math.log(1.4))).cast("int")
-    known = stored(
-        entries.join(placed.withColumnRenamed("vertex", "name"), "name", "left").select(
-            "hash", "name", "size", "pos", F.coalesce("component", "name").alias("component"), band.alias("band")
-        ),
-        "jaccard-entries",
-    )
+    known = known.withColumn("band", band)
     shares = known.groupBy("hash", "component").agg(F.count("*").alias("n"))
     main = shares.groupBy("hash").agg(
         F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("components")
@@ -373,7 +380,7 @@ def _outside_pairs(entries: DataFrame, placed: DataFrame, percent: int) -> DataF
         (F.col("component") != F.col("o_component"))
         & _may_link(F.col("size"), F.col("pos"), F.col("o_size"), F.col("o_pos"), percent)
     )
-    return pairs.select(*_pair(F.col("name"), F.col("o_name")))
+    return pairs.select(F.col("name").alias("a"), F.col("o_name").alias("b"))
 
 
 def _set_components(docs: DataFrame, sets: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
@@ -386,30 +393,38 @@ def _set_components(docs: DataFrame, sets: DataFrame, table: np.ndarray, percent
         "jaccard-found",
     )
     pairs = stored(found.where(F.col("b").isNotNull()).select("a", "b").distinct(), "jaccard-pairs")
-    entries = found.where(F.col("b").isNull()).select("hash", F.col("a").alias("name"), "size", "pos")
-    # First answers: of each set in a short list, one pair; in long lists, the pivots.
-    one = pairs.select(F.explode(F.array("a", "b")).alias("v"), "a", "b")
-    one = one.groupBy("v").agg(F.min(F.struct(F.xxhash64("a", "b"), "a", "b")).alias("p"))
-    first = stored(
-        one.select("p.a", "p.b").union(_pivot_pairs(entries, percent)).distinct(), "jaccard-first"
+    entries = stored(
+        found.where(F.col("b").isNull()).select("hash", F.col("a").alias("name"), "size", "pos"), "jaccard-entries"
     )
     names = pairs.select(F.explode(F.array("a", "b")).alias("name")).union(entries.select("name")).distinct()
     members = stored(_needed_sets(docs, sets, names), "jaccard-members")
-    links = stored(_links(first, members, percent), "jaccard-links")
-    placed = components(links)
-    # Then what lies between the components that these give.
+    # First answers: for each set of a short list one neighbour; in long lists,
+    # round by round, pivots for what is not in their component yet.
+    both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    links, placed = _lowest(both, SEEDS[0], 1), None
+    links = stored(_links(stored(links, "jaccard-first"), members, percent), "jaccard-links")
+    for seed in SEEDS:
+        tried = stored(_pivot_pairs(_placed(entries, placed), seed, percent), "jaccard-pivots")
+        if not tried.isEmpty():
+            links = links.union(stored(_links(tried, members, percent), "jaccard-links"))
+        elif placed is not None:
+            break
+        placed = components(links)
+    # Then all that lies between the components that these give.
     of = lambda c: placed.select(F.col("vertex").alias(c), F.col("component").alias(f"of_{c}"))
     between = (
         pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
         .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
     )
-    rest = between.union(_outside_pairs(entries, placed, percent)).distinct().join(first, ["a", "b"], "left_anti")
+    known = stored(_placed(entries, placed), "jaccard-placed")
+    rest = stored(between.union(_outside_pairs(known, percent)).distinct(), "jaccard-rest")
     more = stored(_links(rest, members, percent), "jaccard-links")
     return placed if more.isEmpty() else components(links.union(more))
 
 
 def _grouped(source: DataFrame, percent: int) -> DataFrame:
     """doc_id, n, name, component (null without shingles) of rows of doc_id, text."""
+    ship_package(source.sparkSession)
     facts = stored(source.mapInArrow(_facts, FACTS), "jaccard-facts")
     rows = facts.where("kind = 0").select("doc_id", "n", "name")
     lowest = F.coalesce("doc_id", F.lit(-(2**63)))

@@ -35,6 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 LEVELS = 12
 SIZE = 64
 REMEMBERED = 300_000
@@ -247,6 +249,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, n_chars, fingerprint, its edited text's digest
     and fingerprint, and the likeness to that and to the next document."""
+    ship_package(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ranged, n = _in_ranges(source)
     return (

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .common import crc_of_id, stored
 from .textstats import with_statistics
 
@@ -140,6 +141,7 @@ def fit(
     seed: int = 17,
 ) -> Model:
     """Learn from rows of doc_id and features, and labels of doc_id and ``label``."""
+    ship_package(stats.sparkSession)
     rows = stored(_labelled(stats, labels, label, folds, held_out), "classifier-rows")
     sums = [F.avg(F.get("features", F.lit(i))).alias(f"m{i}") for i in range(N_FEATURES)]
     spreads = [F.stddev_pop(F.get("features", F.lit(i))).alias(f"s{i}") for i in range(N_FEATURES)]

@@ -37,6 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .common import crc_of_id, stored
 from .quality_classifier import isotonic
 
@@ -220,6 +221,7 @@ def fit(
     calibration: int = 16000,
 ) -> Model:
     """Learn from docs of doc_id and text, and labels of doc_id and ``label``."""
+    ship_package(docs.sparkSession)
     chosen, other = _samples(labels, label, folds, held_out, examples, calibration)
     # Both samples are bounded by the parameters.
     example_rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
