@@ -472,7 +472,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percen
 
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col(doc_id).cast("long").alias("doc_id"), name_of(F.col(text)).alias("name"),
+        F.col(doc_id).cast("long").alias("doc_id"), name_of.asNondeterministic()(F.col(text)).alias("name"),
     )
 
     def same(other: str) -> Column:

@@ -181,7 +181,8 @@ def score_with(score, vector: Column) -> Column:
     def run(vectors: pd.Series) -> pd.Series:
         return pd.Series(score(np.stack(vectors.to_numpy())) if len(vectors) else [], dtype="float64")
 
-    return run(vector)
+    # Not to be computed twice or moved: filters on it stay above it.
+    return run.asNondeterministic()(vector)
 
 
 def statistics(docs: DataFrame, carry: list[str], doc_id: str, text: str) -> DataFrame:
@@ -213,4 +214,5 @@ def keep_good(
     known = statistics(docs.select(doc_id, text).join(ids, doc_id, "left_semi"), [doc_id], doc_id, text)
     model = fit(known.select("doc_id", "features"), labels, **settings)
     rows = statistics(docs, docs.columns, doc_id, text)
-    return rows.where(score_with(model.score, F.col("features")) >= 0.5).select("row.*")
+    scored = rows.select("row", score_with(model.score, F.col("features")).alias("score"))
+    return scored.where("score >= 0.5").select("row.*")
