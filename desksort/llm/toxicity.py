@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
-Terms that tell the classes apart (chi-square over labelled documents, with the
-level divided by the number of terms) span the vectors: (1 + ln tf) x idf, unit
+Terms that mark toxic documents (chi-square over labelled documents, with the level
+divided by the number of terms) span the vectors: (1 + ln tf) x idf, unit
 length. A document's nearest examples by exact cosine vote with weights that fall
 with distance; isotonic regression on labelled documents that are no examples
 turns votes into probabilities. The nearest examples are given as evidence.
@@ -171,11 +171,15 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def choose_terms(rows: DataFrame, level: float = 0.01, support: float = 0.005) -> dict[str, float]:
-    """idf of the terms that tell the classes apart. rows: text, y.
+def choose_terms(
+    rows: DataFrame, level: float = 0.01, support: float = 0.005, lift: float = 3.0
+) -> dict[str, float]:
+    """idf of the terms that mark the toxic documents. rows: text, y.
 
-    A term must occur in ``support`` of the documents of a class: what only a
-    group of near copies shares tells nothing about other documents."""
+    A term must occur in ``support`` of the toxic documents, as what only a few
+    near copies share tells nothing about other documents, and in a share of them
+    that is ``lift`` times that of the others, as common words tell next to
+    nothing."""
     counted = rows.mapInArrow(_count_terms, "term string, n long, ones long")
     counted = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
     counted = stored(counted, "toxicity-terms")
@@ -189,7 +193,7 @@ def choose_terms(rows: DataFrame, level: float = 0.01, support: float = 0.005) -
     chi = F.when(spread > 0, off * off * every / spread).otherwise(F.lit(math.inf))
     chi = F.when(F.col("n") < every, chi).otherwise(0.0)
     of_ones, of_others = F.col("ones") / toxic, (F.col("n") - F.col("ones")) / (every - toxic)
-    common = F.greatest(of_ones, of_others) >= support
+    common = (of_ones >= support) & (of_ones >= lift * of_others)
     best = (
         counted.where(F.col("term").isNotNull() & common).select("term", "n", chi.alias("chi"))
         .orderBy(F.desc("chi"), "term").limit(MOST_TERMS).collect()
