@@ -172,7 +172,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def choose_terms(
-    rows: DataFrame, level: float = 0.01, support: float = 0.005, lift: float = 3.0
+    rows: DataFrame, level: float = 0.01, support: float = 0.01, lift: float = 3.0
 ) -> dict[str, float]:
     """idf of the terms that mark the toxic documents. rows: text, y.
 
