@@ -624,7 +624,7 @@ KNOWN = """known AS (
   FROM (SELECT term, sum(tf)::bigint AS tf, count(*) AS df, (SELECT count(*) FROM documents) AS n
         FROM counted GROUP BY term HAVING count(*) >= 2 AND count(*) <= 0.95::double * any_value(
           (SELECT count(*) FROM documents))
-        ORDER BY sum(tf) DESC, term LIMIT 2000))"""
+        ORDER BY sum(tf) DESC, term LIMIT 10000))"""
 query("document_words", [WORDS], "SELECT doc_id, array_to_string(w, ' ') AS words FROM words")
 query("document_terms", [WORDS], "SELECT doc_id, array_to_string(t, '|') AS terms FROM terms")
 query("term_counts", [WORDS, COUNTS], "SELECT doc_id, term, tf FROM counted")
@@ -641,4 +641,29 @@ SELECT doc_id, list_position(p, list_max(p)) - 1 AS pred, list_max(p)::double AS
   CASE WHEN list_max(p) < 0.6::double THEN 'Uncategorized'
        ELSE (['a', 'b', 'c', 'd'])[list_position(p, list_max(p))] END AS thresholded_category
 FROM odds""")
+query("rejected_by_the_job", [fx.REQUEST_ROWS, PARSED],
+      "SELECT id, reason FROM judged WHERE reason IS NOT NULL")
 query("streamed_cleaning", [], f"SELECT doc_id, {clean_sql('text')} AS text_clean FROM documents")
+
+
+# Columns that are 32-bit in the library; DuckDB counts in 64.
+INTEGERS = {
+    "batch_request_tickets": ["pos"],
+    "long_enough_texts": ["combined_length"],
+    "lengths_in_band": ["length"],
+    "label_map": ["label"],
+    "label_mapping_record": ["label", "num_classes"],
+    "encoded_synthetic": ["label"],
+    "preprocessed_tickets": ["combined_length", "label"],
+    "leaked_texts": ["splits"],
+    "length_stats": ["max_length", "min_length"],
+    "top_error_patterns": ["rank"],
+    "evaluation_summary": ["line_no"],
+    "top_classes": ["rank"],
+    "batch_envelopes": ["place"],
+    "term_counts": ["tf"],
+    "vocabulary": ["index"],
+}
+for _name, _columns in INTEGERS.items():
+    _casts = ", ".join(f'"{c}"::INTEGER AS "{c}"' for c in _columns)
+    ORACLES[_name] = f"SELECT * REPLACE ({_casts}) FROM ({ORACLES[_name]})"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from functools import wraps
 
@@ -20,7 +21,7 @@ from desksort.plans import evaluate as evaluation
 from desksort.plans import preprocess as prep
 from desksort.plans import reuse, score, train
 from desksort.plans.standardize import standardize_csv, standardize_tickets
-from desksort.session import materialize, scratch_path
+from desksort.session import materialize, scratch_path, ship_package
 from desksort.sinks import json_output, tables
 from desksort.sources import feeds, payloads
 from desksort.streaming import tickets as streaming
@@ -686,27 +687,39 @@ def term_counts(spark, sf):
 @query
 @rounded("idf")
 def vocabulary(spark, sf):
-    return features.build_vocabulary(_terms(spark, sf), max_features=2000)
+    return features.build_vocabulary(_terms(spark, sf))
 
 
 @query
 @rounded("weight")
 def tfidf_weights(spark, sf):
     terms = materialize(_terms(spark, sf))
-    known = features.build_vocabulary(terms, max_features=2000)
+    known = features.build_vocabulary(terms)
     return features.tfidf_long(terms, known, "doc_id")
 
 
-def _classifier(spark, sf, **settings) -> tuple[TicketClassifier, prep.Prepared]:
-    data = prep.preprocess(standardize_tickets(fx.feed(spark, sf)))
-    train_rows = data.splits.where(F.col("split") == "train")
-    return TicketClassifier.fit(train_rows, data.label_map, max_iter=50, **settings), data
+# Folders of the model and the prepared data that each application made of a
+# feed: trained once, then read by whatever scores.
+_trained: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _classifier(spark, sf) -> tuple[TicketClassifier, DataFrame]:
+    made = (spark.sparkContext.applicationId, sf)
+    if made not in _trained:
+        data = prep.preprocess(standardize_tickets(fx.feed(spark, sf)))
+        train_rows = data.splits.where(F.col("split") == "train")
+        folders = scratch_path(spark, "model"), scratch_path(spark, "splits")
+        TicketClassifier.fit(train_rows, data.label_map).save(folders[0])
+        data.splits.write.parquet(folders[1])
+        _trained[made] = folders
+    model, splits = _trained[made]
+    return TicketClassifier.load(spark, model), spark.read.parquet(splits)
 
 
 @query
 def classifier_predictions(spark, sf):
-    model, data = _classifier(spark, sf)
-    held = data.splits.where(F.col("split") != "train")
+    model, splits = _classifier(spark, sf)
+    held = splits.where(F.col("split") != "train")
     return model.predict(held).select(
         "ordinal", "label", "pred", "confidence", "predicted_category", "thresholded_category",
         "needs_manual_review",
@@ -717,10 +730,19 @@ def classifier_predictions(spark, sf):
 def trained_and_validated(spark, sf):
     folder = scratch_path(spark, "prepared")
     prep.preprocess(standardize_tickets(fx.feed(spark, sf)), fx.synthetic(spark, sf)).write(folder)
-    _, record = train.train_job(spark, folder, scratch_path(spark, "model"), max_iter=50)
+    _, record = train.train_job(spark, folder, scratch_path(spark, "model"))
     return record
 
 
+@query
+def rejected_by_the_job(spark, sf):
+    """Requests that the scoring job turns away, read back from its output."""
+    model, _ = _classifier(spark, sf)
+    folder = scratch_path(spark, "job")
+    score.scoring_job(fx.requests(spark, sf), model, "id", folder)
+    return spark.read.parquet(f"{folder}/rejected")
+
+
 @query
 def scored_tickets(spark, sf):
     model, _ = _classifier(spark, sf)
@@ -756,6 +778,8 @@ def _by_length():
 
 @query
 def batch_scorer_predictions(spark, sf):
+    # Workers must be able to import the model's module.
+    ship_package(spark, os.path.dirname(os.path.abspath(__file__)))
     scorer = BatchScorer(_by_length, ["a", "b", "c", "d"])
     return scorer.predict(fx.documents(spark, sf), "text").select(
         "doc_id", "pred", "confidence", "predicted_category", "thresholded_category"
@@ -787,7 +811,7 @@ def streamed_counters(spark, sf):
     streaming.start_counters(
         streaming.running_counters(source), out, scratch_path(spark, "progress")
     ).awaitTermination()
-    return spark.read.parquet(out)
+    return streaming.latest_counters(spark, out)
 
 
 @query

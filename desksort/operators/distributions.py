@@ -32,7 +32,7 @@ def histogram(df: DataFrame, series: str, value: str, bins: int = 50) -> DataFra
     # Division can land a value on the wrong side of an edge: step by one.
     guess = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
     placed = (
-        points.join(F.broadcast(ranges), "series")
+        points.join(ranges, "series")
         .withColumn("_g", guess)
         .withColumn(
             "bin",
@@ -46,7 +46,7 @@ def histogram(df: DataFrame, series: str, value: str, bins: int = 50) -> DataFra
     )
     counted = placed.groupBy("series", "bin").agg(F.count("*").alias("count"))
     grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    return grid.join(F.broadcast(counted), ["series", "bin"], "left").select(
+    return grid.join(counted, ["series", "bin"], "left").select(
         "series",
         "bin",
         edge(F.col("bin")).alias("low"),
@@ -73,7 +73,7 @@ def box_plot(df: DataFrame, series: str, value: str, reach: float = 1.5) -> Data
     step = (F.col("q3") - F.col("q1")) * reach
     near = (F.col("x") >= F.col("q1") - step) & (F.col("x") <= F.col("q3") + step)
     return (
-        points.join(F.broadcast(box), "series")
+        points.join(box, "series")
         .groupBy("series", "q1", "median", "q3")
         .agg(
             F.least(F.min(F.when(near, F.col("x"))), F.col("q1")).alias("whisker_low"),

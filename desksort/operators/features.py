@@ -25,7 +25,7 @@ def _accent_table() -> tuple[str, str]:
     """``translate`` arguments that strip accents: letters whose compatibility
     form is one plain character map to it, combining marks map to nothing."""
     plain, marks = {}, []
-    for code in range(0x80, 0x10000):
+    for code in range(0x80, 0x110000):
         char = chr(code)
         if unicodedata.combining(char):
             marks.append(char)
@@ -186,18 +186,20 @@ def build_vocabulary(
 
 
 def tfidf_long(df: DataFrame, vocabulary: DataFrame, row_id: str, terms: str = "terms") -> DataFrame:
-    """``(row_id, term, weight)`` with unit length per row. The vocabulary, at
-    most ``max_features`` rows, is broadcast."""
-    counted = with_term_counts(df.select(row_id, terms), terms, "_counts")
-    raw = (
-        counted.select(row_id, _each_count())
-        .where(F.col("c").isNotNull())
-        .select(row_id, F.col("c.term").alias("term"), F.col("c.tf").alias("_tf"))
-        .join(F.broadcast(vocabulary.select("term", "idf")), "term")
-        .withColumn("_raw", F.col("_tf") * F.col("idf"))
+    """``(row_id, term, weight)`` with unit length per row. Rows are vectors of
+    unit length before they are taken apart, so nothing is shuffled. The
+    vocabulary, at most ``max_features`` rows, comes to the driver."""
+    names = vocabulary.orderBy("index").select("index", "term")
+    vectors = df.select(row_id, terms)
+    for stage in vectorizer_stages(vocabulary, terms, "_vector"):
+        vectors = stage.transform(vectors)
+    cells = vectors.select(row_id, F.unwrap_udt("_vector").alias("_v")).select(
+        row_id,
+        F.inline(
+            F.arrays_zip(F.col("_v.indices").alias("index"), F.col("_v.values").alias("weight"))
+        ),
     )
-    norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(row_id)))
-    return raw.select(row_id, "term", (F.col("_raw") / norm).alias("weight"))
+    return cells.join(F.broadcast(names), "index").select(row_id, "term", "weight")
 
 
 def vectorizer_stages(vocabulary: DataFrame, terms: str = "terms", out: str = "features") -> list:

@@ -5,32 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import exact_quantiles
+
 
 def length_band(
     df: DataFrame, column: str, min_percentile: float = 1, max_percentile: float = 99
 ) -> DataFrame:
-    """One row ``(min_threshold, max_threshold)``, exact and interpolated.
-
-    ``percentile`` keeps a count per distinct value; text lengths after
-    cleaning take at most a few thousand, whatever the number of rows.
-    """
-    both = F.percentile(column, [min_percentile / 100, max_percentile / 100])
-    return df.agg(both.alias("_p")).select(
-        F.col("_p")[0].alias("min_threshold"), F.col("_p")[1].alias("max_threshold")
-    )
+    """One row ``(min_threshold, max_threshold)``, exact and interpolated."""
+    low, high = min_percentile / 100, max_percentile / 100
+    marks = exact_quantiles(df, column, [low, high])
+
+    def at(q: float):
+        return F.max(F.when(F.col("quantile") == q, F.col("value")))
+
+    return marks.agg(at(low).alias("min_threshold"), at(high).alias("max_threshold"))
 
 
 def keep_band(df: DataFrame, column: str, band: DataFrame) -> DataFrame:
-    low = band.select("min_threshold").scalar()
-    high = band.select("max_threshold").scalar()
-    return df.where((F.col(column) >= low) & (F.col(column) <= high))
+    ends = band.select(F.struct("min_threshold", "max_threshold").alias("_b")).scalar()
+    return df.where(
+        (F.col(column) >= ends["min_threshold"]) & (F.col(column) <= ends["max_threshold"])
+    )
 
 
 def band_stats(df: DataFrame, column: str, band: DataFrame) -> DataFrame:
     """Rows before and after, the thresholds, and how many fell on each side."""
-    low = band.select("min_threshold").scalar()
-    high = band.select("max_threshold").scalar()
-    marked = df.select(F.col(column).alias("_c"), low.alias("_low"), high.alias("_high"))
+    ends = band.select(F.struct("min_threshold", "max_threshold").alias("_b")).scalar()
+    marked = df.select(F.col(column).alias("_c"), ends.alias("_b")).select(
+        "_c", F.col("_b.min_threshold").alias("_low"), F.col("_b.max_threshold").alias("_high")
+    )
     inside = (F.col("_c") >= F.col("_low")) & (F.col("_c") <= F.col("_high"))
     return marked.agg(
         F.count("*").alias("initial_count"),

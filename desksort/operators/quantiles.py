@@ -1,4 +1,4 @@
-"""Exact quantiles that never gather a column in one task."""
+"""Exact quantiles that never gather or sort a column."""
 
 from __future__ import annotations
 
@@ -7,97 +7,77 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import joined, materialize
+
+BUCKETS = 1024
+
+
+def _bucket(x: str, low: str, high: str):
+    """The place of a value between two bounds; both bounds have their own. Where
+    the distance is no number, the rest of the values share the middle."""
+    share = (F.col(x) - F.col(low)) / (F.col(high) - F.col(low))
+    inner = F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+    usable = ~F.isnan(share) & (F.abs(F.col(high) - F.col(low)) < float("inf"))
+    return (
+        F.when(F.col(x) == F.col(low), -1)
+        .when(F.col(x) == F.col(high), BUCKETS)
+        .when(usable, inner)
+        .otherwise(BUCKETS // 2)
+    )
+
 
 def exact_quantiles(
-    df: DataFrame,
-    column: str,
-    quantiles: Sequence[float],
-    by: Sequence[str] = (),
-    accuracy: int = 10_000,
+    df: DataFrame, column: str, quantiles: Sequence[float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Linear-interpolation quantiles per group: ``(*by, quantile, value)``.
 
-    Two passes. A sketch brackets each quantile between two values that lie at
-    most a few ``1/accuracy`` of the rows apart. The second pass counts the
-    rows below the bracket and tallies the values inside it; equal values
-    combine before the shuffle, so a value shared by many rows is one row. Only
-    the tallied bracket is ordered. ``by`` is meant for a few groups.
+    A quantile lies between the values at one or two ranks. For all groups and
+    ranks together, each round counts the rows between a rank's bounds in
+    buckets, which tasks add up before anything moves, and narrows the bounds to
+    the smallest and largest value of the bucket that holds the rank. It ends
+    when the bounds are equal, at any size after a few rounds.
     """
-    by = list(by)
-    rows = df.where(F.col(column).isNotNull()).select(*by, F.col(column).cast("double").alias("_x"))
-    # The sketch may be off by 1/accuracy of the rows. Four times that, and so
-    # four ranks at the least, keeps both neighbours that interpolation needs
-    # inside. In a group too small for that the bracket is the whole group.
-    slack = 4.0 / accuracy
-    small = F.col("_n") <= accuracy
-    lows = [max(0.0, q - slack) for q in quantiles]
-    highs = [min(1.0, q + slack) for q in quantiles]
-
-    def marks(ps: list[float]):
-        return F.percentile_approx("_x", ps, accuracy)
-
-    sketch = rows.groupBy(*by).agg(
-        F.count("*").alias("_n"),
-        F.min("_x").alias("_least"),
-        F.max("_x").alias("_most"),
-        marks(lows).alias("_lows"),
-        marks(highs).alias("_highs"),
-    )
-    brackets = sketch.select(
-        *by,
-        "_n",
-        F.transform(
-            F.arrays_zip(
-                F.array(*[F.lit(float(q)) for q in quantiles]).alias("q"),
-                F.col("_lows").alias("low"),
-                F.col("_highs").alias("high"),
-                F.array(*[F.lit(p <= 0.0) for p in lows]).alias("from_least"),
-                F.array(*[F.lit(p >= 1.0) for p in highs]).alias("to_most"),
-            ),
-            lambda b: F.struct(
-                b["q"].alias("q"),
-                F.when(b["from_least"] | small, F.col("_least")).otherwise(b["low"]).alias("low"),
-                F.when(b["to_most"] | small, F.col("_most")).otherwise(b["high"]).alias("high"),
-            ),
-        ).alias("_brackets"),
-    )
-    # One row per group: as many as ``by`` has values, one without ``by``.
-    if by:
-        paired = rows.join(F.broadcast(brackets), by)
-    else:
-        one = brackets.select(F.struct("_n", "_brackets").alias("s")).scalar()
-        paired = rows.withColumn("_s", one).select("_x", "_s._n", "_s._brackets")
-    tallied = (
-        paired.select(*by, "_n", "_x", F.explode("_brackets").alias("b"))
-        .where(F.col("_x") <= F.col("b.high"))
-        .groupBy(
-            *by,
-            "_n",
-            F.col("b.q").alias("quantile"),
-            F.when(F.col("_x") >= F.col("b.low"), F.col("_x")).alias("_value"),
+    given, by = list(by), [*by, "_all"]
+    rows = materialize(
+        df.where(F.col(column).isNotNull()).select(
+            *given, F.lit(0).alias("_all"), F.col(column).cast("double").alias("_x")
         )
-        .agg(F.count("*").alias("_count"))
-    )
-    upto = (
-        Window.partitionBy(*by, "quantile")
-        .orderBy(F.col("_value").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    place = F.col("quantile") * (F.col("_n") - 1)
-    low_rank, high_rank = F.floor(place), F.ceil(place)
-    ranked = tallied.withColumn("_upto", F.sum("_count").over(upto))
-
-    def value_at(rank):
-        found = F.min(F.when(F.col("_upto") > rank, F.col("_value")))
-        return F.coalesce(found, F.raise_error(F.lit("quantile outside its bracket")))
-
-    ends = ranked.groupBy(*by, "quantile").agg(
-        value_at(low_rank).alias("_a"),
-        value_at(high_rank).alias("_b"),
-        F.first(place - low_rank).alias("_part"),
-    )
-    return ends.select(
-        *by,
-        "quantile",
-        (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("value"),
+    sizes = rows.groupBy(*by).agg(
+        F.count("*").alias("_n"), F.min("_x").alias("_low"), F.max("_x").alias("_high")
+    ).where(F.col("_n") > 0)
+    wanted = sizes.select(
+        "*", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])).alias("quantile")
+    ).withColumn("_place", F.col("quantile") * (F.col("_n") - 1))
+    state = wanted.select(
+        *by, "quantile", "_low", "_high",
+        (F.col("_place") - F.floor("_place")).alias("_part"),
+        F.explode(F.array(F.floor("_place"), F.ceil("_place"))).alias("_rank"),
+        F.lit(0).cast("long").alias("_below"),
+    ).distinct()
+    state = materialize(state)
+    keys = [*by, "quantile", "_rank"]
+    fixed = ["_part"]
+    while not state.where(F.col("_low") < F.col("_high")).isEmpty():
+        found = (
+            joined(rows, state.where(F.col("_low") < F.col("_high")), by)
+            .where((F.col("_x") >= F.col("_low")) & (F.col("_x") <= F.col("_high")))
+            .groupBy(*keys, *fixed, "_below", _bucket("_x", "_low", "_high").alias("_bucket"))
+            .agg(F.count("*").alias("_n"), F.min("_x").alias("_least"), F.max("_x").alias("_most"))
+        )
+        upto = Window.partitionBy(*keys).orderBy("_bucket")
+        holding = (
+            found.withColumn("_upto", F.col("_below") + F.sum("_n").over(upto))
+            .where((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n")))
+            .select(
+                *by, "quantile", F.col("_least").alias("_low"), F.col("_most").alias("_high"),
+                "_part", "_rank", (F.col("_upto") - F.col("_n")).alias("_below"),
+            )
+        )
+        state = materialize(state.where(F.col("_low") >= F.col("_high")).unionByName(holding))
+    ends = state.groupBy(*by, "quantile").agg(
+        F.min("_low").alias("_a"), F.max("_low").alias("_b"), F.first("_part").alias("_part")
     )
+    # Without the guard, equal infinities would give no number.
+    step = F.when(F.col("_a") == F.col("_b"), 0.0).otherwise((F.col("_b") - F.col("_a")) * F.col("_part"))
+    return ends.select(*given, "quantile", (F.col("_a") + step).alias("value"))

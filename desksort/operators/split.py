@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import joined, materialize
+
 
 def shuffle_key(row_id: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}|"), F.col(row_id).cast("string")))
@@ -66,16 +68,18 @@ def stratified_split(
     held_out: float = 0.3,
     test_share: float = 0.5,
     digits: int = 3,
+    ranked: int = 10_000,
     out: str = "split",
 ) -> DataFrame:
     """Add ``split``: each stratum's rows in hashed order, test first, then
     validation, then train, in exactly the quota numbers.
 
     No row of ``df`` is shuffled or ranked. Rows are counted by stratum and the
-    first ``digits`` hex digits of the hash; only the slices that hold a cut,
-    one in ``16 ** digits`` each, are ranked to find the cut's exact place.
-    Every row then compares itself with its stratum's two cuts, a table of one
-    row per stratum.
+    first ``digits`` hex digits of the hash; the slices that hold a cut are
+    counted again by more digits until none has more than ``ranked`` rows, and
+    only those are ranked to find the cut's exact place. Every row then compares
+    itself with its stratum's two cuts, a table of one row per stratum. Rows
+    without a stratum are a stratum.
     """
     key = shuffle_key(row_id, seed)
     keyed = df.select(
@@ -93,14 +97,28 @@ def stratified_split(
             F.create_map(F.lit("test"), "test", F.lit("held"), F.col("test") + F.col("val"))
         ).alias("_cut", "_rank"),
     )
-    holding = (
-        running.join(F.broadcast(wanted), "_stratum")
-        .where((F.col("_rank") > F.col("_upto") - F.col("_n")) & (F.col("_rank") <= F.col("_upto")))
-        .select("_stratum", "_slice", "_cut", (F.col("_rank") - F.col("_upto") + F.col("_n")).alias("_nth"))
-    )
+    def holds(sums: DataFrame, rank: str) -> DataFrame:
+        return sums.where(
+            (F.col(rank) > F.col("_upto") - F.col("_n")) & (F.col(rank) <= F.col("_upto"))
+        ).select(
+            "_stratum", "_slice", "_cut", (F.col(rank) - F.col("_upto") + F.col("_n")).alias("_nth"), "_n"
+        )
+
+    holding = materialize(holds(joined(running, materialize(wanted), ["_stratum"]), "_rank"))
+    depth = digits
+    while depth < 32 and not holding.where(F.col("_n") > ranked).isEmpty():
+        depth = min(32, depth + digits)
+        finer = (
+            joined(keyed, holding.drop("_n"), ["_stratum", "_slice"])
+            .groupBy("_stratum", "_cut", "_nth", F.substring("_key", 1, depth).alias("_slice"))
+            .agg(F.count("*").alias("_n"))
+        )
+        order = Window.partitionBy("_stratum", "_cut").orderBy("_slice")
+        holding = materialize(holds(finer.withColumn("_upto", F.sum("_n").over(order)), "_nth"))
+        keyed = keyed.withColumn("_slice", F.substring("_key", 1, depth))
     inside = Window.partitionBy("_stratum", "_cut").orderBy("_key", "_id")
     cuts = (
-        keyed.join(F.broadcast(holding), ["_stratum", "_slice"])
+        joined(keyed, holding, ["_stratum", "_slice"])
         .withColumn("_turn", F.row_number().over(inside))
         .where(F.col("_turn") == F.col("_nth"))
         .groupBy("_stratum")
@@ -111,12 +129,12 @@ def stratified_split(
     )
     here = F.struct(key.alias("_key"), F.col(row_id).alias("_id"))
     return (
-        df.join(F.broadcast(cuts), F.col(stratum) == F.col("_stratum"), "left")
+        joined(df, materialize(cuts.withColumnRenamed("_stratum", stratum)), [stratum], "left")
         .withColumn(
             out,
             F.when(here <= F.col("_test_cut"), F.lit("test"))
             .when(here <= F.col("_held_cut"), F.lit("val"))
             .otherwise(F.lit("train")),
         )
-        .drop("_stratum", "_test_cut", "_held_cut")
+        .drop("_test_cut", "_held_cut")
     )

@@ -6,9 +6,12 @@ import os
 import tempfile
 import uuid
 import zipfile
+from functools import reduce
+from operator import and_
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "desksort", **conf: object) -> SparkSession:
@@ -53,9 +56,38 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
+    drop_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_at_end(spark: SparkSession, path: str) -> None:
+    """Have the driver remove a stage when it ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
+def joined(
+    rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", few: int = 50_000, salts: int = 32
+) -> DataFrame:
+    """``rows`` beside the row of ``table`` with equal keys (null equals null).
+
+    A table counted to have ``few`` rows at most is broadcast. A larger one is
+    repeated ``salts`` times and ``rows`` are dealt out among the copies, so that
+    a key with many rows is met in as many tasks.
+    """
+    if table.count() <= few:
+        left, right, on = rows, F.broadcast(table), list(keys)
+    else:
+        left = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+        right = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        on = [*keys, "_salt"]
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in on]
+    others = [F.col(f"t.{c}") for c in table.columns if c not in keys]
+    return left.alias("r").join(right.alias("t"), reduce(and_, same) if same else F.lit(True), how).select(
+        *[F.col(f"r.{c}") for c in rows.columns], *others
+    )
+
+
 _shipped: WeakKeyDictionary = WeakKeyDictionary()
 
 
