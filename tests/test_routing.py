@@ -82,9 +82,11 @@ def test_threshold_is_a_parameter(predictions, opinions):
     assert {r["ticket_id"] for r in rows if r["classification_method"] == "gpt"} == {0, 2}
 
 
-def test_only_unsure_rows_enter_the_join(predictions, opinions):
+def test_routing_is_one_join_and_one_row_per_ticket(predictions, opinions):
     text = plan(hybrid_route(predictions, opinions))
-    assert "Union" in text and text.count("Join") >= 1
+    assert "Union" not in text and text.count("Join") == 1
+    once = sorted(map(str, hybrid_route(predictions, opinions).collect()))
+    assert sorted(map(str, hybrid_route(predictions, opinions.union(opinions)).collect())) == once
 
 
 def test_softmax_and_order(spark):
