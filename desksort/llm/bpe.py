@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from . import lexicon
+from .common import frequent, stored
 
 # Fixed by the tokenizer: how text is cut before merging.
 PIECES = (
@@ -98,8 +99,8 @@ def _count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequent_words(texts: DataFrame, words: int = LEXICON_WORDS) -> list[bytes]:
     """The most frequent runs of letters of all texts, at most ``words``."""
     counted = texts.mapInArrow(_count_runs, "run binary, n long").groupBy("run").agg(F.sum("n").alias("n"))
-    short = counted.where(F.length("run") < lexicon.LONGEST)
-    return [bytes(r["run"]) for r in short.orderBy(F.desc("n"), "run").limit(words).collect()]
+    counted = stored(counted.where(F.length("run") < lexicon.LONGEST), "bpe-counts")
+    return [bytes(r["run"]) for r in counted.where(frequent(counted, "n", words)).collect()]
 
 
 def build_lexicon(model: dict[str, np.ndarray], words: list[bytes]) -> bytes:

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_folder
+from ..session import drop_at_end, shared_folder
 
 # Words are runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -46,26 +44,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    drop_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def joined(
-    rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", few: int = 50_000, salts: int = 32
-) -> DataFrame:
-    """``rows`` beside the row of ``table`` with equal keys (null equals null).
-
-    A table counted to have ``few`` rows at most is broadcast. A larger one is
-    repeated ``salts`` times and ``rows`` are dealt out among the copies, so that
-    a key with many rows is met in as many tasks.
-    """
-    if table.count() <= few:
-        left, right, on = rows, F.broadcast(table), keys
-    else:
-        left = rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
-        right = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        on = [*keys, "_salt"]
-    same = reduce(and_, [F.col(f"r.{k}").eqNullSafe(F.col(f"t.{k}")) for k in on])
-    others = [F.col(f"t.{c}") for c in table.columns if c not in keys]
-    return left.alias("r").join(right.alias("t"), same, how).select(
-        *[F.col(f"r.{c}") for c in rows.columns], *others
-    )
+
+def frequent(counts: DataFrame, n: str, most: int) -> Column:
+    """Whether a count belongs to the highest, of which there are ``most`` rows at
+    most: counts are cut at a 64th of a power of two. Rows are counted per such
+    step, so nothing is sorted and the driver gets a few thousand numbers."""
+    step = F.floor(F.log2(F.col(n).cast("double")) * 64).cast("int")
+    per_step = sorted(((r["step"], r["count"]) for r in counts.groupBy(step.alias("step")).count().collect()), reverse=True)
+    cut, total = None, 0
+    for at, rows in per_step:
+        total += rows
+        if total > most:
+            break
+        cut = at
+    return step >= cut if cut is not None else F.lit(False)

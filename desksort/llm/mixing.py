@@ -18,7 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import joined, stored, word_count
+from ..session import joined
+from .common import stored, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 LARGEST_RATE = 3.0

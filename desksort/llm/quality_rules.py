@@ -34,7 +34,8 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import joined, stored
+from ..session import joined
+from .common import stored
 from .textstats import with_statistics
 
 UNIT = 1024

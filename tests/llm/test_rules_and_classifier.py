@@ -90,7 +90,7 @@ def test_rules_take_awkward_and_empty(spark):
 
 
 def test_salted_join_gives_the_same(spark):
-    from desksort.llm.common import joined
+    from desksort.session import joined
 
     rows = frame(spark, [("a" if i % 3 else None, i) for i in range(50)], "k string, v int")
     table = frame(spark, [("a", 1), (None, 2), ("b", 3)], "k string, w int")

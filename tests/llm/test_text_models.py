@@ -69,10 +69,11 @@ def test_training_raises_likelihood():
 def test_model_beats_frequencies_on_held_out(spark):
     rng = random.Random(3)
     rows = []
-    for i in range(400):  # two languages: the words before tell which goes on
+    for i in range(1200):  # two languages: the words before tell which goes on
         words = [("la", "de", "un", "que"), ("the", "of", "and", "to")][i % 2]
         rows.append((i, " ".join(rng.choice(words) for _ in range(60))))
-    got = lm.score_documents(frame(spark, rows, "doc_id long, text string")).where("held_out").collect()
+    df = frame(spark, rows, "doc_id long, text string").coalesce(2)
+    got = lm.score_documents(df).where("held_out").collect()
     assert sum(r["score"] for r in got) > 0.9 * sum(r["base_score"] for r in got)
     assert lm.score_documents(empty(spark)).count() == 0
 
