@@ -16,7 +16,6 @@ from desksort.operators import (
     quantiles, routing, split, tally,
 )
 from desksort.operators.classifier import BatchScorer, TicketClassifier
-from desksort.operators.ordinal import spread
 from desksort.plans import evaluate as evaluation
 from desksort.plans import preprocess as prep
 from desksort.plans import reuse, score, train
@@ -86,7 +85,9 @@ def ticket_csv_first_rows(spark, sf):
 
 @query
 def standardized_from_csv(spark, sf):
-    return standardize_csv(spark, _csv_feed(spark, sf)).drop("created_at")
+    return standardize_csv(
+        spark, _csv_feed(spark, sf), partitions=spark.sparkContext.defaultParallelism
+    ).drop("created_at")
 
 
 @query
@@ -168,13 +169,13 @@ QUERIES["cleaned_text_unredacted"] = _per_document(lambda c: text.clean(c, redac
 
 @query
 def page_text_without_markup(spark, sf):
-    pages = spread(fx.table(spark, sf, "pages"), "page_id")
+    pages = fx.spread(fx.table(spark, sf, "pages"), "page_id")
     return pages.select("page_id", text.strip_markup("html").alias("text"))
 
 
 @query
 def cleaned_pages(spark, sf):
-    pages = spread(fx.table(spark, sf, "pages"), "page_id")
+    pages = fx.spread(fx.table(spark, sf, "pages"), "page_id")
     return pages.select("page_id", text.clean("html").alias("text"))
 
 

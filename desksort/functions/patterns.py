@@ -49,6 +49,16 @@ NOISE = (
     (r"_{3,}", " "),
 )
 
+# The shortest run that each of these patterns finds.
+NOISE_RUNS = {
+    r"\.{3,}": "...",
+    r"!{2,}": "!!",
+    r"\?{2,}": "??",
+    r"-{3,}": "---",
+    r"={3,}": "===",
+    r"_{3,}": "___",
+}
+
 # Whitespace as a Unicode-aware string split sees it; ``\s`` alone is ASCII.
 NARROW_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0"
 WIDE_SPACES = "".join(

@@ -145,9 +145,7 @@ def strip_markup(c: Column | str) -> Column:
 def squeeze_noise(c: Column | str) -> Column:
     out = text_or_empty(c)
     for pattern, replacement in patterns.NOISE:
-        # A pattern reads: a character, perhaps escaped, and its least number.
-        char, least = pattern.lstrip("\\")[0], int(pattern[-3])
-        out = _rewrite(out, [(pattern, replacement)], holds(char * least))
+        out = _rewrite(out, [(pattern, replacement)], holds(patterns.NOISE_RUNS[pattern]))
     return out
 
 

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import joined, materialize
+
 
 def with_file_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
     """Number the rows of a file scan from 0, by file path and place in file.
 
     Rows are counted per input split; a running total over the splits gives
     each one its offset. Only that table, one row per split and so no longer
-    than the split list the driver already holds, is summed in one task and
-    broadcast; the rows themselves do not move.
+    than the split list the driver already holds, is summed in one task; it is
+    broadcast if counted to be small, and the rows themselves then do not move.
     """
     tagged = df.select(
         "*",
@@ -30,7 +32,7 @@ def with_file_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift"),
     )
     return (
-        tagged.join(F.broadcast(offsets), ["_path", "_start"])
+        joined(tagged, materialize(offsets), ["_path", "_start"])
         .withColumn(name, F.col("_at") + F.col("_shift"))
         .drop("_path", "_start", "_at", "_shift")
     )
@@ -38,17 +40,3 @@ def with_file_ordinal(df: DataFrame, name: str = "ordinal") -> DataFrame:
 
 def first_rows(df: DataFrame, n: int, ordinal: str = "ordinal") -> DataFrame:
     return df.where(F.col(ordinal) < n)
-
-
-def spread(df: DataFrame, *keys: str, scan: DataFrame | None = None) -> DataFrame:
-    """Deal rows out by key when the scan has fewer splits than the cluster has
-    cores (one big row group, files that cannot be split). A scan with enough
-    splits is returned as it is, so large inputs pay no shuffle.
-
-    ``scan`` is the bare scan below ``df`` where ``df`` has joins or groups:
-    counting the splits of those would run them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if (df if scan is None else scan).rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

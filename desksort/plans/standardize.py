@@ -61,6 +61,11 @@ def standardize_tickets(
 
 
 def standardize_csv(
-    spark: SparkSession, path: str, max_rows: int | None = None, **options: object
+    spark: SparkSession,
+    path: str,
+    max_rows: int | None = None,
+    partitions: int | None = None,
+    **options: object,
 ) -> DataFrame:
-    return standardize_tickets(read_ticket_csv(spark, path, max_rows), **options)
+    rows = read_ticket_csv(spark, path, max_rows, partitions=partitions)
+    return standardize_tickets(rows, **options)

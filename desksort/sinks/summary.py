@@ -33,6 +33,7 @@ def evaluation_summary(
     def share(text: str, value: str) -> Column:
         return F.when(F.col(value).isNotNull(), F.format_string(text, F.col(value) * 100))
 
+    # Titles and sentences of the report, which readers compare.
     overall = metrics.select(F.inline(F.array(
         line("OVERALL METRICS", 1, figure("Accuracy", "accuracy")),
         line("OVERALL METRICS", 2, figure("Balanced Accuracy", "balanced_accuracy")),

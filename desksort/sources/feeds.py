@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import taxonomy
-from ..operators.ordinal import first_rows, spread, with_file_ordinal
+from ..operators.ordinal import first_rows, with_file_ordinal
 
 # Cell texts a feed uses for "no value".
 MISSING_CELLS = (
@@ -25,13 +25,14 @@ def read_ticket_csv(
     multi_line: bool = True,
     missing: Sequence[str] = MISSING_CELLS,
     ordinal: str = "ordinal",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Rows of ticket CSVs, all columns text, numbered in file order.
 
     Descriptions may hold line breaks, so by default a file is one task's
     work; large feeds should come as many files, or with
-    ``multi_line=False`` where no field holds a break. The rows of few files
-    are dealt out to all cores before the costly text steps.
+    ``multi_line=False`` where no field holds a break. ``partitions`` deals
+    the rows of few files out before costly text steps.
     """
     raw = (
         spark.read.option("header", True)
@@ -46,7 +47,8 @@ def read_ticket_csv(
     cells = [
         F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in raw.columns
     ]
-    return spread(numbered.select(*cells, ordinal), ordinal, scan=raw)
+    rows = numbered.select(*cells, ordinal)
+    return rows.repartition(partitions, ordinal) if partitions else rows
 
 
 def detect_columns(
