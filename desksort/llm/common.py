@@ -62,3 +62,11 @@ def frequent(counts: DataFrame, n: str, most: int) -> Column:
             break
         cut = at
     return step >= cut if cut is not None else F.lit(False)
+
+
+FEW_IDS = 1_000_000
+
+
+def only(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is in ``keys``, which are broadcast when counted to be few."""
+    return rows.join(F.broadcast(keys) if keys.count() <= FEW_IDS else keys, key, "left_semi")

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import stored
+from .common import FEW_IDS, only, stored
 from .components import components
 
 WORDS = 5
@@ -54,7 +54,6 @@ PART = 100_000  # entries of a list from which it is dealt out in parts
 SEEDS = (1, 2, 3)  # of the rounds of pivots
 PIVOTS = 3  # that a set is compared with in a round
 REMEMBERED = 400_000  # word hashes that a worker keeps
-BROADCAST_IDS = 1_000_000
 
 
 class _WordHashes(dict):
@@ -277,11 +276,6 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 # --- comparing ---------------------------------------------------------------
 
 
-def _few_or_join(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows of ``docs`` whose key is in ``ids``: broadcast when counted to be few."""
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, key, "left_semi")
-
-
 def _needed_sets(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
     """name, members (sorted hashes as bytes) of the named sets, out of one text each."""
     ids = stored(names.join(sets, "name").select("key").distinct(), "jaccard-keys")
@@ -294,10 +288,10 @@ def _needed_sets(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFram
                  "members": pa.array([f.tobytes() for f in found], pa.binary())}
             )
 
-    texts = _few_or_join(docs.select("key", "text"), ids, "key").select("text")
+    texts = only(docs.select("key", "text"), ids, "key").select("text")
     members = texts.mapInArrow(run, "name long, members binary")
     # Only where ids repeat is there more than one text of a key.
-    once = _few_or_join(docs.select("key"), ids, "key").count() <= ids.count()
+    once = only(docs.select("key"), ids, "key").count() <= ids.count()
     return members if once else members.dropDuplicates(["name"])
 
 
@@ -321,7 +315,7 @@ def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     def named(c: str, as_c: str) -> DataFrame:
         needed = pairs.select(F.col(c).alias("name")).distinct()
-        return _few_or_join(members, needed, "name").select(F.col("name").alias(c), F.col("members").alias(as_c))
+        return only(members, needed, "name").select(F.col("name").alias(c), F.col("members").alias(as_c))
 
     found = pairs.join(named("b", "y"), "b").join(named("a", "x"), "a")
     return found.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
@@ -479,7 +473,7 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percen
         return (F.col("k.name") == F.col(f"{other}.name")) & F.col("k.doc_id").eqNullSafe(F.col(f"{other}.doc_id"))
 
     def sent(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+        return F.broadcast(df) if df.count() <= FEW_IDS else df
 
     kept = packed.alias("k").join(sent(gone).alias("g"), same("g"), "left_anti")
     if again.isEmpty():

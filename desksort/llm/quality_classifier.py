@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import crc_of_id, stored
+from .common import crc_of_id, only, stored
 from .textstats import with_statistics
 
 N_FEATURES = 8
@@ -210,8 +210,8 @@ def keep_good(
     """The rows of ``docs`` with a score of 0.5 or more. Only statistics go to
     Python, rows stay where they are."""
     ids = labels.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(doc_id)).distinct()
-    # Measured for the labelled rows only; Spark broadcasts the ids while small.
-    known = statistics(docs.select(doc_id, text).join(ids, doc_id, "left_semi"), [doc_id], doc_id, text)
+    # Measured for the labelled rows only.
+    known = statistics(only(docs.select(doc_id, text), stored(ids, "classifier-ids"), doc_id), [doc_id], doc_id, text)
     model = fit(known.select("doc_id", "features"), labels, **settings)
     rows = statistics(docs, docs.columns, doc_id, text)
     scored = rows.select("row", score_with(model.score, F.col("features")).alias("score"))
