@@ -130,6 +130,7 @@ STANDARD = f"""standard AS (
   WHERE {sub('t', EDGES, '')} <> '' OR {sub('d', EDGES, '')} <> '')"""
 
 query("standardized_tickets", [fx.FEED, STANDARD], "SELECT * FROM standard")
+query("written_tickets", [fx.FEED, STANDARD], "SELECT * FROM standard")
 query("standardized_from_csv", [f"""feed AS (
   SELECT row_number() OVER (ORDER BY ordinal) - 1 AS ordinal, {present('title')} AS title,
          {present('description')} AS description, {present('category')} AS category,

@@ -265,6 +265,13 @@ def price_quantiles(spark, sf):
     )
 
 
+@query
+def written_tickets(spark, sf):
+    folder = scratch_path(spark, "tickets")
+    tables.write_tickets(standardize_tickets(fx.feed(spark, sf)), folder)
+    return spark.read.parquet(folder).drop("created_at")
+
+
 @query
 def label_map(spark, sf):
     return labels.build_label_map(standardize_tickets(fx.feed(spark, sf)))
@@ -704,7 +711,7 @@ def tfidf_weights(spark, sf):
 _trained: dict[tuple[str, str], tuple[str, str]] = {}
 
 
-def _classifier(spark, sf) -> tuple[TicketClassifier, DataFrame]:
+def trained_model(spark, sf) -> tuple[TicketClassifier, DataFrame]:
     made = (spark.sparkContext.applicationId, sf)
     if made not in _trained:
         data = prep.preprocess(standardize_tickets(fx.feed(spark, sf)))
@@ -719,7 +726,7 @@ def _classifier(spark, sf) -> tuple[TicketClassifier, DataFrame]:
 
 @query
 def classifier_predictions(spark, sf):
-    model, splits = _classifier(spark, sf)
+    model, splits = trained_model(spark, sf)
     held = splits.where(F.col("split") != "train")
     return model.predict(held).select(
         "ordinal", "label", "pred", "confidence", "predicted_category", "thresholded_category",
@@ -738,7 +745,7 @@ def trained_and_validated(spark, sf):
 @query
 def rejected_by_the_job(spark, sf):
     """Requests that the scoring job turns away, read back from its output."""
-    model, _ = _classifier(spark, sf)
+    model, _ = trained_model(spark, sf)
     folder = scratch_path(spark, "job")
     score.scoring_job(fx.requests(spark, sf), model, "id", folder)
     return spark.read.parquet(f"{folder}/rejected")
@@ -746,13 +753,13 @@ def rejected_by_the_job(spark, sf):
 
 @query
 def scored_tickets(spark, sf):
-    model, _ = _classifier(spark, sf)
+    model, _ = trained_model(spark, sf)
     return score.score_tickets(fx.feed(spark, sf), model, "ordinal")
 
 
 @query
 def scored_requests(spark, sf):
-    model, _ = _classifier(spark, sf)
+    model, _ = trained_model(spark, sf)
     second = fx.opinions(spark, sf).select("id", routing.read_answer(F.col("answer")).alias("opinion"))
     return score.score_requests(
         fx.requests(spark, sf), model, "id", opinions=second, use_fallback=True
@@ -761,7 +768,7 @@ def scored_requests(spark, sf):
 
 @query
 def scored_batches(spark, sf):
-    model, _ = _classifier(spark, sf)
+    model, _ = trained_model(spark, sf)
     return score.score_batches(fx.conversation_batches(spark, sf), model, "conv_id", compact=True)
 
 
@@ -817,7 +824,7 @@ def streamed_counters(spark, sf):
 
 @query
 def streamed_scores(spark, sf):
-    model, _ = _classifier(spark, sf)
+    model, _ = trained_model(spark, sf)
     arrivals = scratch_path(spark, "arrivals")
     fx.requests(spark, sf).repartition(4).write.json(arrivals)
     out = scratch_path(spark, "scores")
