@@ -327,10 +327,9 @@ def _may_link(n: Column, p: Column, m: Column, q: Column, percent: int) -> Colum
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * rest >= percent * (n + m))
 
 
-def _lowest(pairs: DataFrame, seed: int, most: int) -> DataFrame:
-    """Of each b's pairs (a, b), those whose a hash lowest: the same few a serve
-    many b."""
-    ranked = F.array_sort(F.collect_set(F.struct(F.xxhash64("a", F.lit(seed)).alias("h"), "a")))
+def _lowest(pairs: DataFrame, rank: Column, most: int) -> DataFrame:
+    """Of each b's pairs (a, b), those that rank lowest."""
+    ranked = F.array_sort(F.collect_set(F.struct(rank.alias("rank"), "a")))
     chosen = pairs.groupBy("b").agg(F.slice(ranked, 1, most).alias("chosen"))
     return chosen.select("b", F.explode("chosen.a").alias("a")).select("a", "b")
 
@@ -345,15 +344,25 @@ def _placed(entries: DataFrame, placed: DataFrame | None) -> DataFrame:
 
 
 def _pivot_pairs(entries: DataFrame, seed: int, percent: int) -> DataFrame:
-    """Pairs of a long list's pivot (a), the set whose name hashes lowest, and an
-    entry of another component (b): a few for each entry over all its lists."""
-    pivot = F.min(F.struct(F.xxhash64("name", F.lit(seed)).alias("h"), "name", "size", "pos", "component"))
+    """Pairs of a long list's pivot (a) and an entry of another component (b): a
+    few for each entry over all its lists.
+
+    Frequent shingles stand last in a set, so a set in which the list's shingle
+    stands far in front has few of its own: it is close to what the list's sets
+    have in common, and links with more of them than others do. Of the sets in
+    the front sixteenth the one whose name hashes lowest is the pivot.
+    """
+    far = F.floor(16 * F.col("pos") / F.col("size"))
+    pivot = F.min(
+        F.struct(far.alias("far"), F.xxhash64("name", F.lit(seed)).alias("h"), "name", "size", "pos", "component")
+    )
     pivots = entries.groupBy("hash").agg(pivot.alias("p"))
     pairs = entries.join(pivots, "hash").where(
         (F.col("p.component") != F.col("component"))
         & _may_link(F.col("size"), F.col("pos"), F.col("p.size"), F.col("p.pos"), percent)
     )
-    return _lowest(pairs.select(F.col("p.name").alias("a"), F.col("name").alias("b")), seed, PIVOTS)
+    found = pairs.select(F.col("p.name").alias("a"), F.col("name").alias("b"), "p.far", "p.h")
+    return _lowest(found, F.struct("far", "h"), PIVOTS)
 
 
 def _outside_pairs(known: DataFrame, percent: int) -> DataFrame:
@@ -395,7 +404,7 @@ def _set_components(docs: DataFrame, sets: DataFrame, table: np.ndarray, percent
     # First answers: for each set of a short list one neighbour; in long lists,
     # round by round, pivots for what is not in their component yet.
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    links, placed = _lowest(both, SEEDS[0], 1), None
+    links, placed = _lowest(both, F.xxhash64("a"), 1), None
     links = stored(_links(stored(links, "jaccard-first"), members, percent), "jaccard-links")
     for seed in SEEDS:
         tried = stored(_pivot_pairs(_placed(entries, placed), seed, percent), "jaccard-pivots")
