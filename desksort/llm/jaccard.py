@@ -16,7 +16,9 @@ the intersection is 75 times the union or more. Method: set relations skip work.
   main component are compared with the rest of the list, all of it. So a group
   of near copies costs a few comparisons per copy, and no link between
   components is lost.
-* Every compared pair is decided on both whole sets.
+* Of the pairs that are left, parities of the sets (a bit or two per shingle) rule
+  out those that differ in too many shingles; the others are decided on both whole
+  sets.
 
 Hashes have 64 bits; sets count as equal when their hash and size are. A list
 that the counts show to be very long is dealt out in several parts; the pivots
@@ -93,8 +95,23 @@ def set_name(found: np.ndarray) -> int:
     return int(np.array([xxhash.xxh3_64_intdigest(found.tobytes(), seed=len(found))], dtype=np.uint64).view(np.int64)[0])
 
 
-def linked(common: Column, n: Column, m: Column, percent: int) -> Column:
-    return 100 * common >= percent * (n + m - common)
+def parities(found: np.ndarray) -> bytes:
+    """Whether an even or odd number of the set's hashes falls to each place, of
+    twice as many places as hashes or more, a power of two."""
+    places = 1 << max(6, int(2 * len(found) - 1).bit_length())
+    at = (found & np.uint64(places - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=places).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """Hashes in one set only: at least as many as there are places with
+    different parities. More places are folded onto fewer."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    a, b, size = int.from_bytes(x, "little"), int.from_bytes(y, "little"), len(y)
+    while size > len(x):
+        size //= 2
+        b = (b >> (8 * size)) ^ (b & ((1 << (8 * size)) - 1))
+    return (a ^ b).bit_count()
 
 
 # --- first pass: the sets' names and the counts ---------------------------
@@ -277,7 +294,8 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 
 def _needed_sets(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
-    """name, members (sorted hashes as bytes) of the named sets, out of one text each."""
+    """name, size, bits and members (sorted hashes as bytes) of the named sets, out
+    of one text each."""
     ids = stored(names.join(sets, "name").select("key").distinct(), "jaccard-keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,19 +303,31 @@ def _needed_sets(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFram
             found = [f for f in (shingles(t.as_py()) for t in batch.column(0)) if len(f)]
             yield pa.RecordBatch.from_pydict(
                 {"name": pa.array([set_name(f) for f in found], pa.int64()),
+                 "size": pa.array([len(f) for f in found], pa.int64()),
+                 "bits": pa.array([parities(f) for f in found], pa.binary()),
                  "members": pa.array([f.tobytes() for f in found], pa.binary())}
             )
 
     texts = only(docs.select("key", "text"), ids, "key").select("text")
-    members = texts.mapInArrow(run, "name long, members binary")
+    members = texts.mapInArrow(run, "name long, size long, bits binary, members binary")
     # Only where ids repeat is there more than one text of a key.
     once = only(docs.select("key"), ids, "key").count() <= ids.count()
     return members if once else members.dropDuplicates(["name"])
 
 
 def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, decided on both whole sets. Each b brings its
-    set to its few a; sets that no pair names stay where they are."""
+    """The pairs (a, b) that link, decided on both whole sets. What the parities,
+    a fraction of a set's size, rule out is not compared; sets that no pair names
+    stay where they are."""
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m, x, y = (batch.column(i).to_pylist() for i in range(2, 6))
+            kept = [
+                i for i in range(batch.num_rows)
+                if (100 + percent) * (n[i] + m[i] - least_difference(x[i], y[i])) >= 2 * percent * (n[i] + m[i])
+            ]
+            yield batch.select([0, 1]).take(pa.array(kept, pa.int32()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -313,12 +343,17 @@ def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 {"a": batch.column(0).take(pa.array(kept, pa.int32())), "b": batch.column(1).take(pa.array(kept, pa.int32()))}
             )
 
-    def named(c: str, as_c: str) -> DataFrame:
-        needed = pairs.select(F.col(c).alias("name")).distinct()
-        return only(members, needed, "name").select(F.col("name").alias(c), F.col("members").alias(as_c))
+    def beside(some: DataFrame, *wanted: str) -> DataFrame:
+        for c in ("b", "a"):
+            needed = some.select(F.col(c).alias("name")).distinct()
+            own = only(members, needed, "name").select(
+                F.col("name").alias(c), *[F.col(w).alias(f"{w}_{c}") for w in wanted]
+            )
+            some = some.join(own, c)
+        return some.select("a", "b", *[f"{w}_{c}" for w in wanted for c in ("a", "b")])
 
-    found = pairs.join(named("b", "y"), "b").join(named("a", "x"), "a")
-    return found.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    near = stored(beside(pairs, "size", "bits").mapInArrow(possible, "a long, b long"), "jaccard-possible")
+    return beside(near, "members").mapInArrow(run, "a long, b long")
 
 
 def _may_link(n: Column, p: Column, m: Column, q: Column, percent: int) -> Column:

@@ -88,6 +88,16 @@ def test_passage_that_many_share(spark):
     assert linked(frame(spark, rows, TEXTS)) == brute_components(rows)
 
 
+def test_parities_never_claim_too_much():
+    rng = np.random.default_rng(1)
+    for n, m, common in [(1, 1, 1), (30, 40, 25), (146, 146, 120), (900, 1100, 0), (5, 3000, 2)]:
+        all_of = rng.integers(0, 2**63, n + m - common, dtype=np.uint64)
+        x, y = all_of[:n], all_of[n - common :]
+        found = jaccard.least_difference(jaccard.parities(x), jaccard.parities(y))
+        assert 0.5 * (n + m - 2 * common) <= found + 1 and found <= n + m - 2 * common
+        assert found == jaccard.least_difference(jaccard.parities(y), jaccard.parities(x))
+
+
 def test_components_of_chains(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     found = dict(components.components(frame(spark, pairs, "a long, b long")).collect())
