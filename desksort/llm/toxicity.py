@@ -1,25 +1,30 @@
 """Toxicity by the nearest labelled examples.
 
-Terms that mark toxic documents (chi-square over labelled documents, with the level
-divided by the number of terms) span the vectors: (1 + ln tf) x idf, unit
-length. A document's nearest examples by exact cosine vote with weights that fall
-with distance; isotonic regression on labelled documents that are no examples
-turns votes into probabilities. The nearest examples are given as evidence.
-
-Search: examples with similar vectors lie next to each other, and an inverted
-index keeps, per term and block of them, the postings and the largest weight.
-The sum of those maxima bounds a block's cosines, so only blocks whose bound
-reaches the k-th best cosine are computed. The result is that of comparing with
-every example; equal cosines go to the smaller id.
+Vectors have (1 + ln tf) x idf of every term, unit length, and every example that
+has a term is in the index. Terms that mark toxic documents (chi-square over
+labelled documents, with the level divided by the number of terms) stand in a
+second part of the vector, unit length as well; in a text that has such terms that
+part makes up MARKED of the squared length, as among hundreds of words two or three
+would not show. The cosine is that of the whole vectors, so a copy of an example has
+cosine 1 whatever its words are. A document's nearest examples by exact cosine vote
+with weights that fall with distance; isotonic regression on labelled documents that
+are no examples turns votes into probabilities. The nearest examples are given as
+evidence.
+
+Search: every document is compared with every example. The most common terms are one
+product of matrices in single precision, the others are added from their postings;
+examples that come near the k-th best sum are computed again in double precision.
+Equal cosines go to the smaller id.
 
 The model comes from a bounded sample of labelled rows, a parameter: per class at
 most ``examples`` rows, and at most ``calibration`` others, those whose ids hash
-lowest. So the index fits into memory at any size, and is broadcast. All documents
-are scored, whole. The calibration keeps texts with one, two, and more chosen
-terms apart: a single one may stand there by chance.
+lowest. So the index fits into memory at any size, and is broadcast. Document counts
+for idf are those of the examples. All documents are scored, whole. The calibration
+keeps texts with no, one, two, and more marking terms apart: a single one may stand
+there by chance.
 
-Defined cases: null and empty texts, and texts without a chosen term, have the
-zero vector and the rate of such rows as score; null labels are no labels; a
+Defined cases: null and empty texts, and texts that share no term with an example,
+have no neighbour and the rate of such rows as score; null labels are no labels; a
 label whose id repeats counts for each row; without labels every score is 0.5; no
 rows give no rows. Extra columns may have any names.
 """
@@ -29,7 +34,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 from statistics import NormalDist
 
 import numpy as np
@@ -42,97 +48,187 @@ from .common import crc_of_id, stored
 from .quality_classifier import isotonic
 
 TERM = re.compile(r"\w+")
-BLOCK = 64
 NEAREST = 16
 CELLS = 1000
-RICH = 3  # chosen terms in a text beyond which more are not told apart
+RICH = 3  # marking terms in a text beyond which more are not told apart
+MARKED = 0.9  # of a vector's squared length is of the marking terms, if it has any
+DENSE = 512  # terms with most examples, compared by a product of matrices
+TOGETHER = 64  # documents compared at once
+CLOSE = 0.01  # distance below which a neighbour weighs no more
+MARGIN = 1e-4  # more than sums in single precision can be off
 MOST_TERMS = 4096
-FEWEST_TERMS = 8
 
 
 def terms(text: str | None) -> list[str]:
     return TERM.findall((text or "").lower())
 
 
+class Space:
+    """Terms, their idf, and which of them mark toxic documents."""
+
+    def __init__(self, names: list[str], idf: np.ndarray, marking: np.ndarray, unseen: float):
+        """names: in order; marking: numbers of terms; unseen: idf of any other term."""
+        self.names, self.idf, self.unseen = names, idf, unseen
+        self.size = len(names) + len(marking)
+        # Place of a marking term in the second part, or -1.
+        self.second = np.full(len(names), -1, dtype=np.int64)
+        self.second[marking] = len(names) + np.arange(len(marking))
+        self._term = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_term": None, "names": "\n".join(self.names)}
+
+    def __setstate__(self, state):
+        names = state["names"]
+        self.__dict__.update(state, names=names.split("\n") if names else [])
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray, float]:
+        """Numbers and frequencies of a text's terms, and the squared length of the
+        terms that no example has."""
+        if self._term is None:
+            self._term = {t: i for i, t in enumerate(self.names)}
+        found = Counter(terms(text))
+        pairs = sorted((self._term[t], n) for t, n in found.items() if t in self._term)
+        other = sum((1 + math.log(n)) ** 2 for t, n in found.items() if t not in self._term)
+        at = np.array([i for i, _ in pairs], dtype=np.int32)
+        return at, np.array([n for _, n in pairs], dtype=np.int32), other * self.unseen**2
+
+    def vector(self, at: np.ndarray, tf: np.ndarray, other: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """Places and weights of the unit vector."""
+        if not len(at):
+            return np.zeros(0, dtype=np.int64), np.zeros(0)
+        w = (1 + np.log(tf)) * self.idf[at]
+        second = self.second[at]
+        marks = second >= 0
+        unit = w / np.sqrt(w @ w + other)
+        if not marks.any():
+            return at.astype(np.int64), unit
+        marked = w[marks] / np.sqrt(w[marks] @ w[marks])
+        places = np.concatenate([at.astype(np.int64), second[marks]])
+        return places, np.concatenate([unit * math.sqrt(1 - MARKED), marked * math.sqrt(MARKED)])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges in a row."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
 class Index:
-    """Block-max inverted index over unit vectors of examples."""
+    """Unit vectors of examples, and their postings by term. Examples with equal
+    vectors are compared once."""
 
     def __init__(self, weight: dict[str, float], rows: list[tuple[int, int, dict[str, float]]]):
         """weight: idf of each term; rows: id, label and vector of each example."""
-        self.term = {t: i for i, t in enumerate(sorted(weight))}
-        self.idf = np.array([weight[t] for t in sorted(weight)])
-        rows = [r for r in rows if r[2]]
-        # Neighbours share their heaviest terms, so a block's bound is close.
-        rows.sort(key=lambda r: (sorted(r[2], key=lambda t: (-r[2][t], t)), r[0]))
-        self.ids = np.array([r[0] for r in rows], dtype=np.int64)
-        self.labels = np.array([r[1] for r in rows], dtype=np.float64)
-        self.blocks = -(-len(rows) // BLOCK)
-        by_term: list[list[tuple[int, float]]] = [[] for _ in self.term]
-        for place, (_, _, vector) in enumerate(rows):
-            for t, w in vector.items():
-                by_term[self.term[t]].append((place, w))
-        self.places = [np.array([p for p, _ in own], dtype=np.int64) for own in by_term]
-        self.weights = [np.array([w for _, w in own]) for own in by_term]
-        edges = np.arange(self.blocks + 1) * BLOCK
-        self.starts = [np.searchsorted(p, edges) for p in self.places]
-        self.most = np.zeros((len(self.term), self.blocks))
-        for i, (p, w) in enumerate(zip(self.places, self.weights)):
-            np.maximum.at(self.most[i], p // BLOCK, w)
+        names = sorted(weight)
+        number = {t: i for i, t in enumerate(names)}
+        idf = np.array([weight[t] for t in names])
+        # No documents are counted here: an unseen term is as rare as the rarest.
+        space = Space(names, idf, np.zeros(0, dtype=np.int64), float(idf.max()) if len(idf) else 1.0)
+        vectors = []
+        for i, y, v in rows:
+            at = sorted((number[t], w) for t, w in v.items())
+            vectors.append((i, y, np.array([a for a, _ in at], dtype=np.int64), np.array([w for _, w in at])))
+        self._set(space, vectors)
+
+    @classmethod
+    def of(cls, space: Space, vectors: list[tuple[int, int, np.ndarray, np.ndarray]]) -> Index:
+        index = cls.__new__(cls)
+        index._set(space, vectors)
+        return index
+
+    def _set(self, space: Space, vectors: list) -> None:
+        self.space = space
+        groups: dict[bytes, list] = {}
+        for row in vectors:
+            if len(row[2]):
+                groups.setdefault(row[2].tobytes() + row[3].tobytes(), []).append(row)
+        own = sorted((sorted(g, key=lambda r: r[:2]) for g in groups.values()), key=lambda g: g[0][:2])
+        members = [r for g in own for r in g]
+        self.ids = np.array([r[0] for r in members], dtype=np.int64)
+        self.labels = np.array([r[1] for r in members], dtype=np.float64)
+        self.members = np.append(0, np.cumsum([len(g) for g in own])).astype(np.int64)
+        self.starts = np.append(0, np.cumsum([len(g[0][2]) for g in own])).astype(np.int64)
+        self.at = np.concatenate([np.zeros(0), *[g[0][2] for g in own]]).astype(np.int32)
+        self.w = np.concatenate([np.zeros(0), *[g[0][3] for g in own]])
+        self._postings = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"_postings": None}
+
+    def postings(self) -> tuple:
+        """Common terms' rows and matrix; starts, examples and weights of the others."""
+        if self._postings is None:
+            size, n = self.space.size, len(self.starts) - 1
+            rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.starts))
+            often = np.bincount(self.at, minlength=size)
+            common = np.argsort(-often, kind="stable")[:DENSE]
+            row = np.full(size, -1, dtype=np.int32)
+            row[common] = np.arange(len(common))
+            dense = row[self.at] >= 0
+            table = np.zeros((len(common), n), dtype=np.float32)
+            table[row[self.at[dense]], rows[dense]] = self.w[dense]
+            by_term = np.flatnonzero(~dense)
+            by_term = by_term[np.argsort(self.at[by_term], kind="stable")]
+            often[common] = 0
+            starts = np.append(0, np.cumsum(often))
+            self._postings = row, table, starts, rows[by_term], self.w[by_term].astype(np.float32)
+        return self._postings
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and weights of a text's unit vector."""
-        found = terms(text)
-        known = self.term.keys() & set(found)
-        if not known:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        counts = Counter(t for t in found if t in known)
-        at = np.array(sorted(self.term[t] for t in counts), dtype=np.int64)
-        tf = {self.term[t]: n for t, n in counts.items()}
-        w = np.array([1 + math.log(tf[i]) for i in at.tolist()]) * self.idf[at]
-        return at, w / np.sqrt(w @ w)
-
-    def _cosines(self, at: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Exact cosines of all examples of these blocks."""
-        row = np.full(self.blocks, -1)
-        row[blocks] = np.arange(len(blocks)) * BLOCK
-        total = np.zeros(len(blocks) * BLOCK)
-        for i, q in zip(at.tolist(), w.tolist()):
-            starts, places, weights = self.starts[i], self.places[i], self.weights[i]
-            for b in blocks[starts[blocks] < starts[blocks + 1]].tolist():
-                part = slice(starts[b], starts[b + 1])
-                total[row[b] + places[part] - b * BLOCK] += q * weights[part]
-        places = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        hit = total > 0
-        return places[hit], total[hit]
+        """Places and weights of a text's unit vector."""
+        return self.space.vector(*self.space.counts(text))
+
+    def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST) -> list:
+        """Per vector, places and cosines of the k nearest examples, nearest first."""
+        none = np.zeros(0, dtype=np.int64), np.zeros(0)
+        n = len(self.starts) - 1
+        if not n:
+            return [none for _ in vectors]
+        row, table, starts, examples, weights = self.postings()
+        asked = np.zeros((len(vectors), len(table)), dtype=np.float32)
+        for one, (at, w) in zip(asked, vectors):
+            dense = row[at] >= 0
+            one[row[at[dense]]] = w[dense]
+        sums = asked @ table
+        whole, out = np.zeros(self.space.size), []
+        for total, (at, w) in zip(sums, vectors):
+            sizes = starts[at + 1] - starts[at]
+            own = _ranges(starts[at], sizes)
+            if len(own):
+                total += np.bincount(examples[own], np.repeat(w, sizes) * weights[own], n)
+            least = np.partition(total, n - k)[n - k] - MARGIN if n > k else 0.0
+            near = np.flatnonzero(total >= least if least > 0 else total > 0)
+            if not len(near):
+                out.append(none)
+                continue
+            whole[at] = w
+            sizes = self.starts[near + 1] - self.starts[near]
+            own = _ranges(self.starts[near], sizes)
+            exact = np.add.reduceat(whole[self.at[own]] * self.w[own], np.cumsum(sizes) - sizes)
+            whole[at] = 0
+            sizes = np.minimum(self.members[near + 1] - self.members[near], k)
+            places, cosines = _ranges(self.members[near], sizes), np.repeat(exact, sizes)
+            best = np.lexsort((self.ids[places], -np.round(cosines, 9)))[:k]
+            out.append((places[best], cosines[best]))
+        return out
 
     def nearest(self, at: np.ndarray, w: np.ndarray, k: int = NEAREST) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest examples, nearest first."""
-        if not len(at) or not self.blocks:
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
-        bounds = w @ self.most[at]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        first = order[: max(2, -(-k // BLOCK) + 1)]
-        places, cosines = self._cosines(at, w, first)
-        least = np.sort(cosines)[-k] if len(cosines) >= k else 0.0
-        # A margin for sums in another order: a bound must not lose an equal.
-        rest = order[len(first) :]
-        rest = rest[bounds[rest] >= least - 1e-9]
-        if len(rest):
-            more, their = self._cosines(at, w, rest)
-            places, cosines = np.concatenate([places, more]), np.concatenate([cosines, their])
-        best = np.lexsort((self.ids[places], -np.round(cosines, 9)))[:k]
-        return places[best], cosines[best]
-
-    def vote(self, text: str | None) -> tuple[int, float, np.ndarray, np.ndarray]:
-        """How many chosen terms the text has (0 if no example is near, RICH for
-        more), the weighted share of toxic neighbours, and the neighbours."""
-        at, w = self.vector(text)
-        places, cosines = self.nearest(at, w)
-        if not len(places):
-            return 0, 0.0, places, cosines
-        near = 1 / (np.maximum(1 - cosines, 0) + 0.05)
-        return min(len(at), RICH), float(near @ self.labels[places] / near.sum()), places, cosines
+        return self.nearest_of([(at, w)], k)[0]
+
+    def votes(self, texts: Iterable[str | None]) -> Iterator[tuple[int, float, np.ndarray, np.ndarray]]:
+        """Per text one more than its marking terms (0 if no example is near, RICH + 1
+        for more), the weighted share of toxic neighbours, and the neighbours."""
+        texts = iter(texts)
+        while some := [self.vector(t) for t in islice(texts, TOGETHER)]:
+            for (at, _), (places, cosines) in zip(some, self.nearest_of(some)):
+                if not len(places):
+                    yield 0, 0.0, places, cosines
+                    continue
+                near = 1 / (np.maximum(1 - cosines, 0) + CLOSE)
+                marks = int((at >= len(self.space.names)).sum())
+                yield min(marks, RICH) + 1, float(near @ self.labels[places] / near.sum()), places, cosines
 
 
 def _samples(labels: DataFrame, label: str, folds: int, held_out: int, examples: int, calibration: int):
@@ -177,42 +273,34 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def choose_terms(
-    rows: DataFrame, level: float = 0.01, support: float = 0.01, lift: float = 3.0
-) -> dict[str, float]:
-    """idf of the terms that mark the toxic documents. rows: text, y.
+def choose_terms(rows: DataFrame, level: float = 0.01, lift: float = 3.0) -> Space:
+    """All terms of the rows, and which of them mark the toxic ones. rows: text, y.
 
-    A term must occur in ``support`` of the toxic documents, as what only a few
-    near copies share tells nothing about other documents, and in a share of them
-    that is ``lift`` times that of the others, as common words tell next to
-    nothing."""
+    A marking term must occur in a share of the toxic documents that is ``lift`` times
+    that of the others, as common words tell next to nothing, however few toxic
+    documents have it. All other terms stay in the vectors."""
     counted = rows.mapInArrow(_count_terms, "term string, n long, ones long")
     counted = counted.groupBy("term").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
-    counted = stored(counted, "toxicity-terms")
-    total = counted.where(F.col("term").isNull()).first()
-    if total is None or not 0 < total["ones"] < total["n"]:
-        return {}
-    every, toxic = float(total["n"]), float(total["ones"])
-    distinct = max(1, counted.count() - 1)
-    off = F.col("ones") * every - F.col("n") * toxic
-    spread = F.col("n") * toxic * (every - F.col("n")) * (every - toxic)
-    chi = F.when(spread > 0, off * off * every / spread).otherwise(F.lit(math.inf))
-    chi = F.when(F.col("n") < every, chi).otherwise(0.0)
-    of_ones, of_others = F.col("ones") / toxic, (F.col("n") - F.col("ones")) / (every - toxic)
-    common = (of_ones >= support) & (of_ones >= lift * of_others)
-    best = (
-        counted.where(F.col("term").isNotNull() & common).select("term", "n", chi.alias("chi"))
-        .orderBy(F.desc("chi"), "term").limit(MOST_TERMS).collect()
-    )
-    least = NormalDist().inv_cdf(1 - level / distinct / 2) ** 2
-    passed = sum(r["chi"] >= least for r in best)
-    if passed < FEWEST_TERMS:
-        passed = FEWEST_TERMS * 8
-    return {r["term"]: math.log((1 + every) / (1 + r["n"])) + 1 for r in best[:passed]}
+    counted = stored(counted, "toxicity-terms").toArrow()  # the examples bound it
+    names = counted["term"].to_pylist()
+    n, ones = (counted[c].to_numpy().astype(np.float64) for c in ("n", "ones"))
+    order = sorted((i for i, t in enumerate(names) if t is not None), key=names.__getitem__)
+    every, toxic = (float(v[names.index(None)]) for v in (n, ones)) if None in names else (0.0, 0.0)
+    names, n, ones = [names[i] for i in order], n[order], ones[order]
+    idf, unseen = np.log((1 + every) / (1 + n)) + 1, math.log(1 + every) + 1
+    if not 0 < toxic < every:
+        return Space(names, idf, np.zeros(0, dtype=np.int64), unseen)
+    spread = n * toxic * (every - n) * (every - toxic)
+    chi = np.where(spread > 0, (ones * every - n * toxic) ** 2 * every / np.where(spread > 0, spread, 1), 0.0)
+    of_ones, of_others = ones / toxic, (n - ones) / (every - toxic)
+    common = np.flatnonzero((ones > 0) & (of_ones >= lift * of_others))
+    best = common[np.argsort(-chi[common], kind="stable")][:MOST_TERMS]
+    least = NormalDist().inv_cdf(1 - level / max(1, len(names)) / 2) ** 2
+    return Space(names, idf, best[chi[best] >= least], unseen)
 
 
 class Model:
-    """curves: for 0 to RICH terms, knots and values of the calibration."""
+    """curves: for no neighbour and 0 to RICH marking terms, knots and values."""
 
     def __init__(self, index: Index, curves: list[tuple[np.ndarray, np.ndarray]]):
         self.index, self.curves = index, curves
@@ -235,30 +323,29 @@ def fit(
     chosen, other = _samples(labels, label, folds, held_out, examples, calibration)
     # Both samples are bounded by the parameters.
     example_rows = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
-    idf = choose_terms(example_rows.select("text", "y"))
-    plain = Index(idf, [])
+    space = choose_terms(example_rows.select("text", "y"))
+    spaces = docs.sparkSession.sparkContext.broadcast(space)
 
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [plain.vector(t.as_py()) for t in batch.column(1)]
+            found = [spaces.value.counts(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column(0), "y": batch.column(2),
-                 "at": pa.array([a.tolist() for a, _ in found], pa.list_(pa.int64())),
-                 "w": pa.array([w.tolist() for _, w in found], pa.list_(pa.float64()))}
+                 "at": pa.array([at.tobytes() for at, _, _ in found], pa.binary()),
+                 "tf": pa.array([tf.tobytes() for _, tf, _ in found], pa.binary())}
             )
 
-    schema = "doc_id long, y int, at array<long>, w array<double>"
-    names = sorted(idf)
-    rows = [
-        (r["doc_id"], r["y"], {names[i]: w for i, w in zip(r["at"], r["w"])})
-        for r in example_rows.mapInArrow(vectors, schema).where(F.size("at") > 0).collect()
-    ]
-    index = Index(idf, rows)
+    found = example_rows.mapInArrow(counts, "doc_id long, y int, at binary, tf binary").toArrow()
+    vectors = []
+    for i, y, at, tf in zip(*(found[c] for c in ("doc_id", "y", "at", "tf"))):
+        at, tf = (np.frombuffer(v.as_py(), dtype=np.int32) for v in (at, tf))
+        vectors.append((i.as_py(), y.as_py(), *space.vector(at, tf)))
+    index = Index.of(space, vectors)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shared.value.vote(t.as_py())[:2] for t in batch.column(0)]
+            found = [v[:2] for v in shared.value.votes(t.as_py() for t in batch.column(0))]
             yield pa.RecordBatch.from_pydict(
                 {"rich": pa.array([r for r, _ in found], pa.int32()),
                  "cell": pa.array([round(v * CELLS) for _, v in found], pa.int32()), "y": batch.column(1)}
@@ -268,17 +355,19 @@ def fit(
     held = held.mapInArrow(votes, "rich int, cell int, y int").groupBy("rich", "cell")
     cells = held.agg(F.count("*").alias("n"), F.sum("y").alias("ones")).collect()
     curves = []
-    for rich in range(RICH + 1):
-        own = sorted((r for r in cells if r["rich"] == rich), key=lambda r: r["cell"])
+    for rich in range(RICH + 2):
+        own = {r["cell"]: (float(r["n"]), float(r["ones"])) for r in cells if r["rich"] == rich}
+        if rich:  # one row at each end: where no row was held, the vote itself counts
+            for cell, y in ((0, 0.0), (CELLS, 1.0)):
+                n, ones = own.get(cell, (0.0, 0.0))
+                own[cell] = n + 1, ones + y
         if own:
+            at = sorted(own)
             curves.append(
                 isotonic(
-                    np.array([r["cell"] / CELLS for r in own]), np.array([float(r["n"]) for r in own]),
-                    np.array([float(r["ones"]) for r in own]),
+                    np.array(at) / CELLS, np.array([own[c][0] for c in at]), np.array([own[c][1] for c in at])
                 )
             )
-        elif rich:  # nothing to calibrate with: the vote itself
-            curves.append((np.array([0.0, 1.0]), np.array([0.0, 1.0])))
         else:
             curves.append((np.array([0.0]), np.array([0.5])))
     return Model(index, curves)
@@ -299,8 +388,7 @@ def score_documents(
         model = shared.value
         for batch in batches:
             scores, near = [], []
-            for one in batch.column(1):
-                rich, vote, places, cosines = model.index.vote(one.as_py())
+            for rich, vote, places, cosines in model.index.votes(t.as_py() for t in batch.column(1)):
                 scores.append(model.score(rich, vote))
                 near.append(
                     [

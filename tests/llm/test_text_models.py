@@ -173,3 +173,27 @@ def test_toxicity_takes_awkward_and_empty(spark):
     none = toxicity.score_documents(awkward(spark), labels(spark, "toxic")).collect()
     assert {r["score"] for r in none} == {0.5}
     assert toxicity.score_documents(empty(spark), known).count() == 0
+
+
+def test_toxicity_finds_copies_and_rare_kinds(spark):
+    """A copy of a toxic example in plain words, and a kind in 0.6 % of the toxic rows."""
+    rng = random.Random(3)
+    rows, known = [], []
+    for i in range(6000):
+        words = prose(i, 30).split()
+        if i % 2 == 0:
+            words[10:10] = rng.sample(["scoundrel", "nitwit", "blockhead", "rascal"], 2) if i % 320 else ["vermin", "begone"]
+        rows.append((i, " ".join(words)))
+        known.append((i, int(i % 2 == 0)))
+    plain = {i: prose(20_000 + i, 30) for i in range(12)}
+    rows += [(7000 + i, text) for i, text in plain.items()]
+    known += [(7000 + i, 1) for i in plain]
+    rows += [(8000 + i, text) for i, text in plain.items()]
+    rows += [(9000 + i, prose(30_000 + i, 14) + " vermin begone " + prose(40_000 + i, 14)) for i in range(12)]
+    df = frame(spark, rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score_documents(df, labels(spark, "toxic", known)).collect()}
+    own = [(got[8000 + i]["evidence"] or [None])[0] for i in plain]
+    copies = [i for i, e in zip(plain, own) if e and e["similarity"] == pytest.approx(1) and e["doc_id"] == 7000 + i]
+    assert len(copies) > 4 and all(got[8000 + i]["predicted"] for i in copies)  # the others were no examples
+    assert all(got[9000 + i]["predicted"] for i in range(12))
+    assert all(r["evidence"] for r in got.values())
