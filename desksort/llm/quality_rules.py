@@ -11,9 +11,10 @@ The estimate starts from medians and quartiles and takes ``steps`` concentration
 steps: moments of the chosen vectors, distances of all, the closest share again.
 Vectors are whole numbers of 1/1024 and sums of them are exact, so reruns agree.
 Quantiles come from counts per bin (64 per feature unit, 8 per factor of two of
-the distance), which a task adds up before anything is shuffled. A floor on each
-variance keeps a statistic that is the same in nearly all texts from rejecting
-the few that differ a little.
+the distance), which a task adds up before anything is shuffled. A variance that is
+estimated below a feature's least deviation is raised to it, so that a statistic that
+is the same in nearly all texts does not reject the few that differ a little; any
+feature can reject a text alone.
 
 Groups below ``least_rows`` vectors are judged with the other small groups of
 their language, and if those are few as well, with all that is left.
@@ -40,8 +41,11 @@ from .textstats import with_statistics
 
 UNIT = 1024
 FEATURES = ("word_length", "symbol_share", "upper_share", "dup_line_share", "repeat_share")
-# Standard deviations below which a feature is not trusted, in its own units.
-FLOORS = (0.05, 0.30, 0.05, 0.20, 0.10)
+# Deviation that rounding to 1/UNIT gives a feature; added, so no scatter is singular.
+FLOORS = (0.29 / UNIT,) * 5
+# Least deviations, where less is estimated: what a few characters, a symbol or two, or
+# a line or passage that repeats by chance change in a text of ordinary length.
+LEAST = (0.05, 0.15, 0.03, 0.12, 0.06)
 D = len(FEATURES)
 
 
@@ -163,7 +167,7 @@ def _start(rows: DataFrame) -> DataFrame:
     )
     counted = long.groupBy("group", "f", "bin").agg(F.count("*").alias("n"))
     points = _first_bin(counted, ["group", "f"], [0.25, 0.5, 0.75])
-    floors = F.array(*[F.lit(s * UNIT) for s in FLOORS])
+    floors = F.array(*[F.lit(s * UNIT) for s in LEAST])
     middle = (F.col("b1") + 0.5) * (UNIT // 64)
     spread = F.greatest((F.col("b2") - F.col("b0")) * (UNIT / 64 / 1.349), F.get(floors, F.col("f")))
     sorted_by = F.array_sort(F.collect_list(F.struct("f", middle.alias("m"), (1 / spread).alias("w"))))
@@ -192,8 +196,11 @@ def _estimate(moments: DataFrame, scale: float) -> DataFrame:
     for i in range(D):
         for j in range(i + 1):
             spread = F.col(f"s{i}_{j}").cast("double") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
-            extra = (FLOORS[i] * UNIT) ** 2 if i == j else 0.0
-            table = table.withColumn(f"c{i}_{j}", F.greatest(spread, F.lit(0.0)) * scale + extra if i == j else spread * scale)
+            if i == j:
+                spread = F.greatest(spread * scale, F.lit((LEAST[i] * UNIT) ** 2)) + (FLOORS[i] * UNIT) ** 2
+            else:
+                spread = spread * scale
+            table = table.withColumn(f"c{i}_{j}", spread)
     for j in range(D):
         used = [F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}") for k in range(j)]
         table = table.withColumn(f"l{j}_{j}", F.sqrt(reduce(lambda a, b: a - b, used, F.col(f"c{j}_{j}"))))
@@ -238,7 +245,7 @@ def estimates(
     return groups.join(params, "group").select("lang", "source", "p")
 
 
-def judged(rows: DataFrame, params: DataFrame, tail: float = 1e-6) -> DataFrame:
+def judged(rows: DataFrame, params: DataFrame, tail: float = 0.001) -> DataFrame:
     """Add distance (null where nothing was estimated), cutoff and kept."""
     cutoff = chi_square_quantile(1 - tail, D)
     return (
@@ -257,7 +264,7 @@ def apply_rules(
     text: str = "text",
     lang: str = "lang",
     source: str = "source",
-    tail: float = 1e-6,
+    tail: float = 0.001,
     **settings,
 ) -> DataFrame:
     """Per row of ``docs``: row.doc_id, stats, failed, distance, kept."""
@@ -271,7 +278,7 @@ def keep_good(
     text: str = "text",
     lang: str = "lang",
     source: str = "source",
-    tail: float = 1e-6,
+    tail: float = 0.001,
     **settings,
 ) -> DataFrame:
     """The rows of ``docs`` that the rules keep. Texts are measured twice, once

@@ -63,6 +63,17 @@ def test_outliers_go_and_clean_stay(spark):
     assert {r["doc_id"] for r in qr.keep_good(df).collect()} == {k for k, v in kept.items() if v}
 
 
+def test_duplicate_lines_and_repeats_reject(spark):
+    """Either feature alone suffices in a group of clean texts."""
+    once = "river stones"
+    lines = [(1000 + i, "\n".join([once] * 6 + [prose(700 + i, 60), prose(750 + i, 9)]), "en", "s1") for i in range(3)]
+    passage = [(2000 + i, " ".join([prose(800 + i, 50), prose(900, 12), prose(820 + i, 10), prose(900, 12)]), "en", "s1") for i in range(3)]
+    df = frame(spark, good_rows(160) + lines + passage, "doc_id long, text string, lang string, source string")
+    rows = {r["row"]["doc_id"]: r for r in qr.apply_rules(df).collect()}
+    assert all(rows[i]["kept"] for i in range(160))
+    assert not any(rows[i]["failed"] or rows[i]["kept"] for i in [1000, 1001, 1002, 2000, 2001, 2002])
+
+
 def test_estimate_equals_numpy(spark):
     """Centre and distances of the last step, computed anew from its subset."""
     rng = np.random.default_rng(2)
