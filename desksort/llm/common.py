@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import drop_at_end, shared_folder
@@ -70,3 +70,39 @@ FEW_IDS = 1_000_000
 def only(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows whose key is in ``keys``, which are broadcast when counted to be few."""
     return rows.join(F.broadcast(keys) if keys.count() <= FEW_IDS else keys, key, "left_semi")
+
+
+HEAVY = 10_000
+
+
+def met(rows: DataFrame, table: DataFrame, keys: list[str], size: str) -> DataFrame:
+    """``rows``, which should be stored, beside the row of ``table`` with equal keys,
+    or nulls where it has none. ``size`` says how many rows a key of ``table`` has.
+
+    Keys of at least a ``HEAVY``th of all sizes, and so no more than ``HEAVY``, are
+    broadcast; only rows of the other keys, few each, are shuffled."""
+    total = table.agg(F.sum(size)).first()[0] or 0
+    heavy = F.col(size) * HEAVY >= total
+    others = [c for c in table.columns if c not in keys and c != size]
+    small = table.drop(size) if size not in keys else table
+    tall = table.where(heavy).select(*small.columns, F.lit(True).alias("_heavy"))
+    tried = rows.join(F.broadcast(tall), keys, "left")
+    rest = tried.where(F.col("_heavy").isNull()).drop("_heavy", *others)
+    rest = rest.join(table.where(~heavy).select(*small.columns), keys, "left")
+    return tried.where("_heavy").drop("_heavy").unionByName(rest)
+
+
+def running(df: DataFrame, key: str, order: str, values: dict[str, str], how=F.sum, add=Column.__add__, span: int = 4096) -> DataFrame:
+    """For each ``name: column`` of ``values``, the sum over the rows of the same key
+    that come before, by ``order`` (long, 0 or more, without ties in a key). A key's
+    rows are dealt out by ranges of ``span`` numbers, so none is in one task whole.
+    ``how`` and ``add`` may be another sum of parts."""
+    ranged = df.withColumn("_range", F.floor(F.col(order) / span))
+    inside = Window.partitionBy(key, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(key, "_range").agg(*[how(c).alias(n) for n, c in values.items()])
+    totals = totals.select(key, "_range", *[how(n).over(before).alias(f"_{n}") for n in values])
+    rows = ranged.withColumns({n: F.coalesce(how(c).over(inside), F.lit(0)) for n, c in values.items()})
+    rows = rows.join(totals.where(F.col("_range") > 0), [key, "_range"], "left")
+    whole = {n: add(F.col(n), F.coalesce(f"_{n}", F.lit(0))) for n in values}
+    return rows.withColumns(whole).drop("_range", *[f"_{n}" for n in values])

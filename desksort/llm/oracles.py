@@ -67,3 +67,39 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(chars * times)::bigint AS formatted_chars, max(w)::bigint + 1 AS n_windows
 FROM counted GROUP BY conv_id"""
+
+ORACLES["op11_prefix_trie"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT conv_id, list_reduce(list_concat([4294967295::bigint], list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) AS r
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(r, 4294967295) % 6 AS h FROM crc),
+ranked AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+rebuilt AS (
+  SELECT c.conv_id, 0 AS part, r.pos, r.role, r.text FROM convs c JOIN ranked r ON r.conv_id = c.base AND r.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, r.pos, r.role, r.text FROM convs c JOIN ranked r ON r.conv_id = c.conv_id AND r.pos > c.h),
+steps AS (
+  SELECT conv_id, row_number() OVER w AS depth, list({'r': role, 't': text}) OVER w AS path, length(text) AS chars
+  FROM rebuilt WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+paths AS (
+  SELECT conv_id, depth, sha256(path::varchar) AS p,
+    CASE WHEN depth = 1 THEN '' ELSE lag(sha256(path::varchar)) OVER (PARTITION BY conv_id ORDER BY depth) END AS q, chars
+  FROM steps
+  UNION ALL SELECT conv_id, 0, '', NULL, 0 FROM convs),
+lasts AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT depth, p, any_value(q) AS q, min(conv_id) AS conv_id, count(*) AS n, any_value(chars) AS chars,
+    string_agg(CASE WHEN ends THEN conv_id::varchar END, ',' ORDER BY conv_id) AS ended
+  FROM (SELECT p.*, l.depth = p.depth AS ends FROM paths p JOIN lasts l USING (conv_id)) GROUP BY depth, p),
+kids AS (SELECT q AS p, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY q, depth - 1),
+full_nodes AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN kids k USING (depth, p)),
+below AS (
+  SELECT a.depth, a.p, sum((u.n - 1) * u.chars) AS saved, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves
+  FROM full_nodes u JOIN paths a ON a.conv_id = u.conv_id AND a.depth <= u.depth GROUP BY a.depth, a.p)
+SELECT n.conv_id, n.depth::bigint AS depth, up.conv_id AS parent_conv_id, n.n AS n_convs, n.n_children, b.n_leaves,
+  b.saved::bigint AS saved_tokens, sha256(coalesce(n.ended, '')) AS ends_sha256
+FROM full_nodes n JOIN below b USING (depth, p) LEFT JOIN full_nodes up ON up.depth = n.depth - 1 AND up.p = n.q"""

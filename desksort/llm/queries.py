@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, chat, jaccard, language_model, mixing, parsing, quality_classifier, quality_rules, sharding,
-    toxicity,
+    bpe, chat, jaccard, language_model, mixing, packing, parsing, quality_classifier,
+    quality_rules, sharding, toxicity, trie,
 )
 from .common import crc_of_id, table
 
@@ -43,10 +43,10 @@ def op2_language_model(spark, sf):
     return language_model.score_documents(table(spark, sf, "documents"))
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -127,3 +127,13 @@ def op10_toxicity(spark, sf):
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
     scored = toxicity.score_documents(table(spark, sf, "documents"), labels)
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted", "evidence")
+
+
+@query
+def op11_prefix_trie(spark, sf):
+    return trie.rebuilt_trie(table(spark, sf, "conversations"))
+
+
+@query
+def op13_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
