@@ -103,3 +103,34 @@ below AS (
 SELECT n.conv_id, n.depth::bigint AS depth, up.conv_id AS parent_conv_id, n.n AS n_convs, n.n_children, b.n_leaves,
   b.saved::bigint AS saved_tokens, sha256(coalesce(n.ended, '')) AS ends_sha256
 FROM full_nodes n JOIN below b USING (depth, p) LEFT JOIN full_nodes up ON up.depth = n.depth - 1 AND up.p = n.q"""
+
+ORACLES["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, sum(len(w))::bigint AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, k AS size
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, phrase, size, count(*) AS n FROM grams GROUP BY lang, phrase, size HAVING count(*) >= 30),
+candidates AS (SELECT lang, phrase, n AS a, size, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, l.n AS l, r.n AS r, ((c.a::hugeint * 2000000) // (l.n + r.n))::bigint AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')),
+weakest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT lang, array_to_string(w[i : i + k - 1], ' ') AS phrase, max(a) AS around
+  FROM (SELECT lang, w, a, size, k, unnest(range(1, size - k + 2)) AS i
+        FROM candidates, (SELECT unnest([2, 3]) AS k) WHERE k < size)
+  GROUP BY 1, 2),
+kept AS (
+  SELECT w.* FROM weakest w LEFT JOIN inner_phrases i USING (lang, phrase)
+  WHERE i.around IS NULL OR 100::hugeint * i.around < 80::hugeint * w.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, s.n, score
+FROM kept k JOIN sizes s USING (lang)
+QUALIFY rank <= 2000"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bpe, chat, jaccard, language_model, mixing, packing, parsing, quality_classifier,
+    bpe, chat, collocations, jaccard, language_model, mixing, packing, parsing, quality_classifier,
     quality_rules, sharding, toxicity, trie,
 )
 from .common import crc_of_id, table
@@ -134,6 +134,11 @@ def op11_prefix_trie(spark, sf):
     return trie.rebuilt_trie(table(spark, sf, "conversations"))
 
 
+@query
+def op12_collocations(spark, sf):
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
 @query
 def op13_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
