@@ -46,7 +46,8 @@ SCALE = 2_000_000
 MOST_WORDS = 262_144
 MOST_BITS = 27  # as a power of two: 16 MB
 FLUSH = 400_000  # distinct words that a counting task holds
-CHUNK = 1_500_000  # words whose phrases are counted together
+GROUP = 2_000_000  # bytes of text that are cut together
+CHUNK = 1_000_000  # words whose phrases are counted together
 PER_SHARD = 1_000_000  # phrases that a shard is meant to hold
 MOST_SHARDS = 15  # as a power of two
 SALTS = 64
@@ -75,9 +76,15 @@ def words_of(texts: list[str | None]) -> list[bytes]:
 
 
 def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[str | None]]]:
+    """The texts of a batch by language, at most ``GROUP`` bytes and one text at a time."""
     found: dict[str, list] = {}
-    for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        found.setdefault(lang, []).append(text)
+    size = 0
+    for lang, text in zip(batch.column(0), batch.column(1)):
+        found.setdefault(lang.as_py(), []).append(text.as_py())
+        size += len(found[lang.as_py()][-1] or "")
+        if size > GROUP:
+            yield from found.items()
+            found, size = {}, 0
     yield from found.items()
 
 
