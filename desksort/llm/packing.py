@@ -23,6 +23,7 @@ names.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import zlib
@@ -39,6 +40,7 @@ from .common import stored
 
 LENGTH = 2048
 PER_CELL = 16_384
+TOGETHER = 5_000  # new words that are encoded as one text
 WORDS_KEPT = 400_000  # words whose ids a worker remembers
 GROUP = 4_000_000  # bytes of text that are looked up together
 
@@ -70,6 +72,10 @@ class WordCodec:
         self.tokenizer = Tokenizer.from_buffer(tokenizer)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        suffix = json.loads(tokenizer)["model"].get("end_of_word_suffix") or "\0"
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.closing[[at for token, at in vocabulary.items() if token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -79,10 +85,28 @@ class WordCodec:
         if len(self.known) + len(missing) > WORDS_KEPT:
             self.known.clear()
             missing = list(wanted)
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in missing], add_special_tokens=False)
-        self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(missing, found))
+        plain, others = [], []
+        for word in missing:
+            (plain if word.decode().isalpha() else others).append(word)
+        for at in range(0, len(plain), TOGETHER):
+            self._learn_together(plain[at : at + TOGETHER])
+        self._learn(others)
         return [b"".join(map(self.known.__getitem__, words)) for words in cut]
 
+    def _learn(self, words: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        self.known.update((w, array("I", e.ids).tobytes()) for w, e in zip(words, found))
+
+    def _learn_together(self, words: list[bytes]) -> None:
+        """Words of letters only, as one text: each is cut off by one closing token."""
+        text = b" ".join(words).decode()
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
+        if len(ends) != len(words):  # letters that the tokenizer does not know as such
+            return self._learn(words)
+        raw = ids.tobytes()
+        self.known.update((w, raw[a:b]) for w, a, b in zip(words, [0, *ends], ends))
+
 
 _codecs: dict[str, WordCodec] = {}
 
