@@ -47,6 +47,7 @@ MOST_WORDS = 262_144
 MOST_BITS = 27  # as a power of two: 16 MB
 FLUSH = 400_000  # distinct words that a counting task holds
 GROUP = 2_000_000  # bytes of text that are cut together
+ROW = 512  # words in a row of ids, and up to the next gap
 CHUNK = 1_000_000  # words whose phrases are counted together
 PER_SHARD = 1_000_000  # phrases that a shard is meant to hold
 MOST_SHARDS = 15  # as a power of two
@@ -306,8 +307,7 @@ def count_phrases(tokens: DataFrame, layout: Layout, shorter: Layout | None, bit
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = None if bits is None else np.frombuffer(bits.value, dtype=np.uint8)
         for batch in batches:
-            for row in batch.column(0):
-                ids = np.frombuffer(row.as_buffer(), dtype="<i4")
+            for ids in _chunks(b"".join(batch.column(0).to_pylist())):
                 if len(ids) < size:
                     continue
                 starts = _starts(ids, shorter, marks, size)
@@ -366,31 +366,35 @@ def _bits(spark: SparkSession, counted: DataFrame, layout: Layout):
     return spark.sparkContext.broadcast(out.tobytes())
 
 
+def _chunks(data: bytes) -> Iterator[np.ndarray]:
+    """The ids of many rows in parts of about ``CHUNK``, cut where no phrase goes on."""
+    ids = np.frombuffer(data, dtype="<i4")
+    while len(ids):
+        end = CHUNK + int((ids[CHUNK:] < 0).argmax()) + 1 if len(ids) > CHUNK else len(ids)
+        yield ids[:end]
+        ids = ids[end:]
+
+
 def _as_ids(source: DataFrame, words) -> DataFrame:
-    """Texts as ids, -1 where a word has none and between pieces, in long arrays."""
+    """Texts as ids, -1 where a word has none and between pieces. Rows are short, so
+    that few bytes reach a task at once, and each ends with -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per_lang: dict[str, dict[bytes, int]] = {}
         for i, (lang, word) in enumerate(words.value):
             per_lang.setdefault(lang, {})[word] = i
-        waiting: list[np.ndarray] = []
-        size = 0
-        gap = np.array([-1], dtype="<i4")
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict({"ids": pa.array([np.concatenate(waiting).tobytes()], pa.binary())})
-
         for batch in batches:
             for lang, texts in _by_lang(batch):
                 find = per_lang.get(lang, {}).get
-                found = words_of(texts)
-                waiting += [np.fromiter((find(w, -1) for w in found), dtype="<i4", count=len(found)), gap]
-                size += len(found) + 1
-            if size > CHUNK:
-                yield out()
-                waiting, size = [], 0
-        if waiting:
-            yield out()
+                found = [find(w, -1) for w in words_of(texts)]
+                found.append(-1)
+                ids = np.array(found, dtype="<i4")
+                # No phrase crosses a -1, so rows may end there.
+                gaps = np.flatnonzero(ids < 0) + 1
+                ends = np.unique(gaps[np.searchsorted(gaps, np.arange(ROW, len(ids) + ROW, ROW).clip(max=len(ids)))])
+                raw, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+                rows = [raw[a:b] for a, b in zip(edges, edges[1:])]
+                yield pa.RecordBatch.from_pydict({"ids": pa.array(rows, pa.binary())})
 
     return source.mapInArrow(run, "ids binary")
 

@@ -40,7 +40,7 @@ from .common import stored
 
 LENGTH = 2048
 PER_CELL = 16_384
-TOGETHER = 5_000  # new words that are encoded as one text
+TOGETHER = 20_000  # new words that are encoded as one text
 WORDS_KEPT = 400_000  # words whose ids a worker remembers
 GROUP = 4_000_000  # bytes of text that are looked up together
 
@@ -83,8 +83,7 @@ class WordCodec:
         wanted = {w for words in cut for w in words}
         missing = [w for w in wanted if w not in self.known]
         if len(self.known) + len(missing) > WORDS_KEPT:
-            self.known.clear()
-            missing = list(wanted)
+            self.known = {w: self.known[w] for w in wanted.difference(missing)}
         plain, others = [], []
         for word in missing:
             (plain if word.decode().isalpha() else others).append(word)
