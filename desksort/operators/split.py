@@ -9,7 +9,7 @@ from ..session import joined, materialize
 
 
 def shuffle_key(row_id: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(row_id).cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col(row_id).cast("string"), F.lit(""))))
 
 
 def apportion(sizes: DataFrame, stratum: str, size: str, draws: str, out: str) -> DataFrame:
@@ -76,10 +76,12 @@ def stratified_split(
 
     No row of ``df`` is shuffled or ranked. Rows are counted by stratum and the
     first ``digits`` hex digits of the hash; the slices that hold a cut are
-    counted again by more digits until none has more than ``ranked`` rows, and
-    only those are ranked to find the cut's exact place. Every row then compares
-    itself with its stratum's two cuts, a table of one row per stratum. Rows
-    without a stratum are a stratum.
+    counted again by more digits until none has more than ``ranked`` rows, and in
+    those the rows of each id are counted. Every row then compares itself with its
+    stratum's two cuts, a table of one row per stratum. Where a cut falls among rows
+    of one id, however many, the table is written once with the rows numbered, and
+    the numbers decide: they are counted by task, so no task ranks the id's rows but
+    those of a single split. Rows without a stratum are a stratum; a null id is an id.
     """
     key = shuffle_key(row_id, seed)
     keyed = df.select(
@@ -116,25 +118,68 @@ def stratified_split(
         order = Window.partitionBy("_stratum", "_cut").orderBy("_slice")
         holding = materialize(holds(finer.withColumn("_upto", F.sum("_n").over(order)), "_nth"))
         keyed = keyed.withColumn("_slice", F.substring("_key", 1, depth))
-    inside = Window.partitionBy("_stratum", "_cut").orderBy("_key", "_id")
-    cuts = (
+    runs = (
         joined(keyed, holding, ["_stratum", "_slice"])
-        .withColumn("_turn", F.row_number().over(inside))
-        .where(F.col("_turn") == F.col("_nth"))
-        .groupBy("_stratum")
-        .agg(*[
-            F.max(F.when(F.col("_cut") == cut, F.struct("_key", "_id"))).alias(f"_{cut}_cut")
-            for cut in ("test", "held")
-        ])
+        .groupBy("_stratum", "_cut", "_nth", "_key", "_id")
+        .agg(F.count("*").alias("_n"))
+    )
+    inside = Window.partitionBy("_stratum", "_cut").orderBy("_key", "_id")
+    # The id that holds each cut, and how many of its rows are before the cut.
+    cuts = materialize(
+        runs.withColumn("_upto", F.sum("_n").over(inside))
+        .where((F.col("_nth") <= F.col("_upto")) & (F.col("_nth") > F.col("_upto") - F.col("_n")))
+        .withColumn("_nth", F.col("_nth") - F.col("_upto") + F.col("_n"))
+        .select("_stratum", "_cut", "_key", "_id", "_nth", "_n")
     )
-    here = F.struct(key.alias("_key"), F.col(row_id).alias("_id"))
+    among = cuts.where(F.col("_nth") < F.col("_n"))
+    rows, number = df, F.lit(0).cast("long")
+    last = cuts.withColumn("_last", F.lit(0).cast("long"))
+    if not among.isEmpty():
+        rows = materialize(df.withColumn("_number", F.monotonically_increasing_id()))
+        number = F.col("_number")
+        last = last.withColumn("_last", F.lit(2**63 - 1)).where(F.col("_nth") == F.col("_n")).unionByName(
+            _numbers_at(rows, among, stratum, row_id, key)
+        )
+    by_stratum = last.groupBy("_stratum").agg(*[
+        F.max(F.when(F.col("_cut") == cut, F.struct("_key", "_id", "_last"))).alias(f"_{cut}_cut")
+        for cut in ("test", "held")
+    ])
+    here = F.struct(key.alias("_key"), F.col(row_id).alias("_id"), number.alias("_last"))
     return (
-        joined(df, materialize(cuts.withColumnRenamed("_stratum", stratum)), [stratum], "left")
+        joined(rows, materialize(by_stratum.withColumnRenamed("_stratum", stratum)), [stratum], "left")
         .withColumn(
             out,
             F.when(here <= F.col("_test_cut"), F.lit("test"))
             .when(here <= F.col("_held_cut"), F.lit("val"))
             .otherwise(F.lit("train")),
         )
-        .drop("_test_cut", "_held_cut")
+        .drop("_test_cut", "_held_cut", "_number")
+    )
+
+
+def _numbers_at(rows: DataFrame, cuts: DataFrame, stratum: str, row_id: str, key: Column) -> DataFrame:
+    """``cuts`` with ``_last``: the number of the cut id's ``_nth`` row. A number's
+    high bits are the split that its row was in: rows are counted by split, and only
+    those of the split that holds the cut are ranked."""
+    named = rows.select(
+        F.col(stratum).alias("_stratum"), key.alias("_key"), F.col(row_id).alias("_id"), "_number",
+        F.shiftright("_number", 33).alias("_part"),
+    )
+    cut = ["_stratum", "_cut", "_key", "_id", "_nth", "_n"]
+    own = joined(named, cuts.where(F.col("_cut") == "test"), ["_stratum", "_key", "_id"]).unionByName(
+        joined(named, cuts.where(F.col("_cut") == "held"), ["_stratum", "_key", "_id"])
+    )
+    parts = own.groupBy(*cut, "_part").agg(F.count("*").alias("_rows"))
+    in_order = Window.partitionBy("_stratum", "_cut").orderBy("_part")
+    at = materialize(
+        parts.withColumn("_before", F.sum("_rows").over(in_order) - F.col("_rows"))
+        .where((F.col("_nth") > F.col("_before")) & (F.col("_nth") <= F.col("_before") + F.col("_rows")))
+        .select("_stratum", "_cut", "_part", "_before")
+    )
+    by_number = Window.partitionBy("_stratum", "_cut").orderBy("_number")
+    return (
+        joined(own, at, ["_stratum", "_cut", "_part"])
+        .withColumn("_turn", F.row_number().over(by_number) + F.col("_before"))
+        .where(F.col("_turn") == F.col("_nth"))
+        .select(*cut, F.col("_number").alias("_last"))
     )

@@ -1,5 +1,6 @@
 """Duplicates, lengths, labels, splits, augmentation."""
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -13,7 +14,8 @@ from desksort.operators.labels import (
 )
 from desksort.operators.outliers import band_stats, keep_band, length_band
 from desksort.operators.profile import class_weights, split_counts, value_counts
-from desksort.operators.quantiles import exact_quantiles
+from desksort.operators import quantiles
+from desksort.operators.quantiles import exact_quantiles, order_key
 from desksort.operators.split import split_quotas, stratified_split
 from tests.conftest import plan
 
@@ -62,6 +64,45 @@ def test_band_is_the_interpolated_one(spark):
     assert stats["removed"] == 777 - len(inside) == stats["too_short"] + stats["too_long"]
 
 
+def test_keys_are_in_the_order_of_the_doubles(spark):
+    rng = np.random.default_rng(3)
+    edges = [2.0**e for e in range(-1074, 1024)]
+    values = [*edges, *np.nextafter(edges, 0), *np.nextafter(edges, np.inf), np.inf, 0.0]
+    values += rng.integers(0, 2**62, 3000).view(np.float64).tolist()
+    values = [float(v) for v in values if not math.isnan(v)]
+    values += [-v for v in values]
+    df = spark.createDataFrame([(v,) for v in [*values, math.nan]], "x double")
+    keys = {r["x"]: r["k"] for r in df.select("x", order_key(F.col("x")).alias("k")).collect() if not math.isnan(r["x"])}
+    for v, k in keys.items():
+        bits = int(np.float64(abs(v)).view(np.int64))
+        assert k == (-bits if v < 0 else bits)
+    assert df.select(F.max(order_key(F.col("x")))).first()[0] == 0x7FF8 << 48
+
+
+@pytest.mark.parametrize("values", [
+    [2.0**e for e in range(-500, 500)],
+    [float(v) for v in range(3000)],
+    [math.inf, -math.inf, *np.random.default_rng(1).normal(size=2000), -0.0, 0.0],
+])
+def test_quantiles_take_few_counts(spark, monkeypatch, values):
+    counts = []
+    monkeypatch.setattr(quantiles, "_counted", lambda *a, f=quantiles._counted: counts.append(1) or f(*a))
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    wanted = [0.1, 0.25, 0.5, 0.9, 0.99]
+    got = {r["quantile"]: r["value"] for r in exact_quantiles(df, "x", wanted).collect()}
+    assert got == {q: pytest.approx(np.quantile(values, q), rel=1e-12) for q in wanted}
+    assert len(counts) <= 4
+
+
+def test_quantiles_of_crowded_ranges(spark, monkeypatch):
+    """Cells with more rows than buckets are counted by bits, not by value."""
+    monkeypatch.setattr(quantiles, "BITS", 4)
+    values = (1 + np.random.default_rng(2).random(3000) * 2.0**-30).tolist()
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = {r["quantile"]: r["value"] for r in exact_quantiles(df, "x", [0.0, 0.3, 1.0]).collect()}
+    assert got == {q: np.quantile(values, q) for q in (0.0, 0.3, 1.0)}
+
+
 def test_quantiles_are_exact(spark):
     rng = np.random.default_rng(7)
     # A hot value, a long tail, and a group of one row.
@@ -157,6 +198,21 @@ def test_split_sizes_hold_whatever_the_slices(spark):
     assert other != parts[3]
 
 
+@pytest.mark.parametrize("ranked", [10, 10_000])
+def test_quotas_are_exact_when_ids_repeat(spark, ranked):
+    rows = [("a", 7 if i < 100 else i, i) for i in range(200)]
+    rows += [("b", 1, i) for i in range(50)] + [("c", None, i) for i in range(20)] + [(None, i, i) for i in range(10)]
+    df = spark.createDataFrame(rows, "c string, tid long, n long").repartition(6)
+    out = stratified_split(df, "c", "tid", ranked=ranked)
+    assert out.columns == ["c", "tid", "n", "split"]
+    got = Counter((r["c"], r["split"]) for r in out.collect())
+    assert sum(got.values()) == len(rows) and {r["n"] for r in out.where("c = 'a'").collect()} == set(range(200))
+    for r in split_quotas(df.groupBy("c").agg(F.count("*").alias("size")), "c", "size").collect():
+        assert [got[r["c"], s] for s in ("train", "val", "test")] == [r["train"], r["val"], r["test"]]
+    alone = stratified_split(df.where("c = 'a'"), "c", "tid", ranked=ranked)
+    assert Counter(r["split"] for r in alone.collect()) == {"train": 140, "val": 30, "test": 30}
+
+
 def test_split_moves_no_rows(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).selectExpr("id", "cast(id % 3 as string) c", "repeat('x', 50) body").write.parquet(path)
