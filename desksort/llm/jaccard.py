@@ -55,7 +55,10 @@ SHORT = 32  # entries of a list whose pairs are given at once
 PART = 100_000  # entries of a list from which it is dealt out in parts
 SEEDS = (1, 2, 3)  # of the rounds of pivots
 PIVOTS = 3  # that a set is compared with in a round
-REMEMBERED = 400_000  # word hashes that a worker keeps
+PARTNER_SEEDS = (11, 12, 13)  # of the rounds of partners
+PARTNERS = 8  # that a set is compared with in such a round
+REMEMBERED = 100_000  # word hashes that a worker keeps
+TOGETHER = 500  # texts whose index entries or sets are sent together
 
 
 class _WordHashes(dict):
@@ -114,6 +117,13 @@ def least_difference(x: bytes, y: bytes) -> int:
     return (a ^ b).bit_count()
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of ``TOGETHER`` rows, as what is made of them is larger."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(at, TOGETHER)
+
+
 # --- first pass: the sets' names and the counts ---------------------------
 
 FACTS = "kind int, doc_id long, n long, name long, chunk int, part int, bins binary, counts binary"
@@ -187,7 +197,7 @@ def _index(docs: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
-        for batch in batches:
+        for batch in _parts(batches):
             out: list[tuple] = []
             for text in batch.column(0):
                 found = shingles(text.as_py())
@@ -299,7 +309,7 @@ def _needed_sets(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFram
     ids = stored(names.join(sets, "name").select("key").distinct(), "jaccard-keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             found = [f for f in (shingles(t.as_py()) for t in batch.column(0)) if len(f)]
             yield pa.RecordBatch.from_pydict(
                 {"name": pa.array([set_name(f) for f in found], pa.int64()),
@@ -400,24 +410,60 @@ def _pivot_pairs(entries: DataFrame, seed: int, percent: int) -> DataFrame:
     return _lowest(found, F.struct("far", "h"), PIVOTS)
 
 
-def _outside_pairs(known: DataFrame, percent: int) -> DataFrame:
-    """What pivots leave open in long lists: sets outside the list's largest
-    component (b), with all sets of another component in their list (a) whose size
-    block is theirs or next to it."""
-    band = F.floor(F.log("size") / F.lit(math.log(1.4))).cast("int")
-    known = known.withColumn("band", band)
+def _banded(known: DataFrame, percent: int) -> DataFrame:
+    """Entries with their size block: sets that may link are in blocks side by side."""
+    wide = math.log(105 / percent)  # a little more than sizes of linked sets differ
+    return known.withColumn("band", F.floor(F.log("size") / F.lit(wide)).cast("int"))
+
+
+def _outside(known: DataFrame) -> DataFrame:
+    """Entries of sets outside their list's largest component, as o_name and so on,
+    for each block that may hold sets they link with."""
     shares = known.groupBy("hash", "component").agg(F.count("*").alias("n"))
     main = shares.groupBy("hash").agg(
         F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("components")
     ).where("components > 1")
-    outside = known.join(main, "hash").where(F.col("component") != F.col("main.component")).select(
+    return known.join(main, "hash").where(F.col("component") != F.col("main.component")).select(
         "hash", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
         *[F.col(c).alias(f"o_{c}") for c in ("name", "size", "pos", "component")],
     )
-    pairs = known.join(outside, ["hash", "band"]).where(
+
+
+def _met_outside(some: DataFrame, outside: DataFrame, percent: int) -> DataFrame:
+    return some.join(outside, ["hash", "band"]).where(
         (F.col("component") != F.col("o_component"))
         & _may_link(F.col("size"), F.col("pos"), F.col("o_size"), F.col("o_pos"), percent)
     )
+
+
+def _partner_pairs(known: DataFrame, seed: int, percent: int) -> DataFrame:
+    """Pairs of a set outside its lists' largest components (b) and a few of other
+    components (a): of each block of a list ``PARTNERS`` are drawn, those in front
+    before others, and a set tries those of two of its lists."""
+    known = _banded(known, percent)
+    h = F.xxhash64("name", F.lit(seed))
+    far = F.floor(8 * F.col("pos") / F.col("size"))
+    drawn = known.groupBy("hash", "band", F.pmod(h, F.lit(PARTNERS)).alias("draw")).agg(
+        F.min(F.struct(far.alias("far"), h.alias("h"), "name", "size", "pos", "component")).alias("p")
+    ).select("hash", "band", "p.*")
+    outside = _outside(known)
+    # Where the list's shingle is in front, more sets can reach the threshold.
+    back = F.floor(16 * F.col("o_pos") / F.col("o_size"))
+    turn = F.struct(back.alias("back"), F.xxhash64("hash", "o_name", F.lit(seed)).alias("h"))
+    lists = _lowest(outside.select(F.col("hash").alias("a"), F.col("o_name").alias("b"), turn.alias("turn")), F.col("turn"), 2)
+    lists = lists.select(F.col("a").alias("hash"), F.col("b").alias("o_name"))
+    found = _met_outside(drawn, outside.join(lists, ["o_name", "hash"]), percent)
+    return _lowest(
+        found.select(F.col("name").alias("a"), F.col("o_name").alias("b"), "far", "h"), F.struct("far", "h"), PARTNERS
+    )
+
+
+def _outside_pairs(known: DataFrame, percent: int) -> DataFrame:
+    """What pivots and partners leave open in long lists: sets outside the list's
+    largest component (b), with all sets of another component in their list (a) whose
+    size block is theirs or next to it."""
+    known = _banded(known, percent)
+    pairs = _met_outside(known, _outside(known), percent)
     return pairs.select(F.col("name").alias("a"), F.col("o_name").alias("b"))
 
 
@@ -448,6 +494,14 @@ def _set_components(docs: DataFrame, sets: DataFrame, table: np.ndarray, percent
         elif placed is not None:
             break
         placed = components(links)
+    # Sets that no pivot has placed try a few others of their lists.
+    for seed in PARTNER_SEEDS:
+        tried = stored(_partner_pairs(stored(_placed(entries, placed), "jaccard-placed"), seed, percent), "jaccard-partners")
+        found = stored(_links(tried, members, percent), "jaccard-links")
+        if found.isEmpty():
+            break
+        links = links.union(found)
+        placed = components(links)
     # Then all that lies between the components that these give.
     of = lambda c: placed.select(F.col("vertex").alias(c), F.col("component").alias(f"of_{c}"))
     between = (
