@@ -467,6 +467,25 @@ def _outside_pairs(known: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.col("name").alias("a"), F.col("o_name").alias("b"))
 
 
+def _merged(placed: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components with more links: what is placed together already is one vertex, so
+    only new links are followed."""
+    if placed is None:
+        return components(links)
+    ends = links.select(F.explode(F.array("a", "b")).alias("vertex")).distinct()
+    new = ends.join(placed, "vertex", "left_anti").select("vertex", F.col("vertex").alias("component"))
+    known = stored(placed.unionByName(new), "jaccard-known")
+    of = only(known, ends, "vertex")
+    for c in ("a", "b"):
+        links = links.join(of.select(F.col("vertex").alias(c), F.col("component").alias(f"of_{c}")), c)
+    moved = components(links.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    moved = moved.select(F.col("vertex").alias("component"), F.col("component").alias("to"))
+    return stored(
+        known.join(moved, "component", "left").select("vertex", F.coalesce("to", "component").alias("component")),
+        "jaccard-components",
+    )
+
+
 def _set_components(docs: DataFrame, sets: DataFrame, table: np.ndarray, percent: int) -> DataFrame:
     """vertex (a set's name), component, for sets that link with another set."""
     index = _index(docs.select("text"), table, percent)
@@ -493,15 +512,15 @@ def _set_components(docs: DataFrame, sets: DataFrame, table: np.ndarray, percent
             links = links.union(stored(_links(tried, members, percent), "jaccard-links"))
         elif placed is not None:
             break
-        placed = components(links)
+        placed = _merged(placed, links)
+        links = links.limit(0)
     # Sets that no pivot has placed try a few others of their lists.
     for seed in PARTNER_SEEDS:
         tried = stored(_partner_pairs(stored(_placed(entries, placed), "jaccard-placed"), seed, percent), "jaccard-partners")
         found = stored(_links(tried, members, percent), "jaccard-links")
         if found.isEmpty():
             break
-        links = links.union(found)
-        placed = components(links)
+        placed = _merged(placed, found)
     # Then all that lies between the components that these give.
     of = lambda c: placed.select(F.col("vertex").alias(c), F.col("component").alias(f"of_{c}"))
     between = (
@@ -511,7 +530,7 @@ def _set_components(docs: DataFrame, sets: DataFrame, table: np.ndarray, percent
     known = stored(_placed(entries, placed), "jaccard-placed")
     rest = stored(between.union(_outside_pairs(known, percent)).distinct(), "jaccard-rest")
     more = stored(_links(rest, members, percent), "jaccard-links")
-    return placed if more.isEmpty() else components(links.union(more))
+    return placed if more.isEmpty() else _merged(placed, more)
 
 
 def _grouped(source: DataFrame, percent: int) -> DataFrame:
