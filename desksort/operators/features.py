@@ -31,28 +31,84 @@ def _accent_table() -> tuple[str, str]:
             marks.append(char)
             continue
         base = [c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)]
-        if len(base) == 1 and base[0] != char:
+        if not base:  # a mark that comes apart into marks
+            marks.append(char)
+        elif len(base) == 1 and base[0] != char:
             plain[char] = base[0]
     return "".join([*plain, *marks]), "".join(plain.values())
 
 
 @lru_cache(maxsize=1)
-def _ligatures() -> dict[str, str]:
-    """Latin ligatures and digraphs that come apart into several letters."""
+def _long_forms() -> dict[str, str]:
+    """Characters that come apart into several: ligatures, fractions, squared and
+    circled signs, syllables. Their forms follow from the standard, none is listed."""
     out = {}
-    for code in [*range(0x100, 0x250), *range(0xFB00, 0xFB07)]:
+    for code in range(0x80, 0x110000):
         form = unicodedata.normalize("NFKD", chr(code))
         base = "".join(c for c in form if not unicodedata.combining(c))
-        if len(base) > 1 and base.isalpha():
+        if len(base) > 1:
             out[chr(code)] = base
     return out
 
 
+# Korean syllables come apart by rule: 19 leads, 21 vowels and no or one of 27 tails.
+HANGUL, LEADS, VOWELS, TAILS = 0xAC00, 19, 21, 28
+
+
+def _is_hangul(code: int) -> bool:
+    return HANGUL <= code < HANGUL + LEADS * VOWELS * TAILS
+
+
+def _letters_of(at: Column) -> Column:
+    """The letters of the Korean syllable at this place of their block."""
+    lead, vowel, tail = (
+        F.array(*[F.lit(c) for c in part])
+        for part in (
+            [chr(0x1100 + i) for i in range(LEADS)], [chr(0x1161 + i) for i in range(VOWELS)],
+            ["", *(chr(0x11A7 + i) for i in range(1, TAILS))],
+        )
+    )
+    block = VOWELS * TAILS
+    return F.concat(
+        F.get(lead, F.floor(at / block).cast("int")),
+        F.get(vowel, F.floor(at % block / TAILS).cast("int")),
+        F.get(tail, (at % TAILS).cast("int")),
+    )
+
+
+@lru_cache(maxsize=1)
+def _long_class() -> str:
+    """A pattern for any character with a long form, or a Korean syllable."""
+    codes = sorted(map(ord, _long_forms()))
+    starts = [x for x, before in zip(codes, [-1, *codes]) if before != x - 1]
+    ends = [x for x, after in zip(codes, [*codes[1:], -1]) if after != x + 1]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends)) + "]"
+
+
+def _apart(c: Column) -> Column:
+    """Each character by its long form, if it has one, inside the row. Only texts
+    that hold such a character are taken apart."""
+    forms = {k: v for k, v in _long_forms().items() if not _is_hangul(ord(k))}
+    pairs = "\x01".join(f"{k}\x02{v}" for k, v in forms.items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
+
+    def one(letter: Column) -> Column:
+        code = F.ascii(letter)
+        syllable = code.between(HANGUL, HANGUL + LEADS * VOWELS * TAILS - 1)
+        return (
+            F.when(code < 0x80, letter)
+            .when(syllable, _letters_of(code - HANGUL))
+            .otherwise(F.coalesce(F.element_at(table, letter), letter))
+        )
+
+    return F.when(c.rlike(_long_class()), F.array_join(F.transform(F.split(c, ""), one), "")).otherwise(c)
+
+
 def strip_accents(c: Column) -> Column:
+    """The text's compatibility form without accents. Characters with longer forms
+    come apart first, as what they become is plain."""
     source, target = _accent_table()
-    stripped = F.translate(c, source, target)
-    for joined, apart in _ligatures().items():
-        stripped = F.replace(stripped, F.lit(joined), F.lit(apart))
+    stripped = F.translate(_apart(c), source, target)
     # Most text is plain ASCII and needs none of this.
     return F.when(is_ascii(c), c).otherwise(stripped)
 

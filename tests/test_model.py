@@ -50,6 +50,24 @@ def test_terms(terms, stop):
         assert got[i] == grams(tokens(text, stop)), text
 
 
+FORMS = [
+    "½ cup ㎏ weight … ﬁn ㌀", "한국어 글 각 가나다 뷁", "ǆ ĳ ŉ ﷺ ℻ ⅷ ⒀ 🆎x", "plain ascii ½", "ﬃ ﬄs ﬆ ㍿ Ⅻ", "한", "",
+]
+
+
+def test_forms_of_any_length(spark, stop):
+    df = spark.createDataFrame(list(enumerate(FORMS)), "id long, t string")
+    got = {r["id"]: r["w"] for r in df.select("id", features.words(F.col("t")).alias("w")).collect()}
+    assert got == {i: tokens(t, stop) for i, t in enumerate(FORMS)}
+    assert got[0] == ["cup", "kg", "weight", "fin", "アハート"]
+    every = [chr(c) for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
+    rows = ["".join(every[i : i + 400]) for i in range(0, len(every), 400)]
+    df = spark.createDataFrame([(t,) for t in rows], "t string").repartition(4)
+    for r in df.select("t", features.strip_accents(F.col("t")).alias("s")).collect():
+        form = "".join(unicodedata.normalize("NFKD", c) for c in r["t"])
+        assert r["s"] == "".join(c for c in form if not unicodedata.combining(c))
+
+
 def test_accents(spark):
     words = ["Ångström", "naïve", "ﬁne", "Ǆ", "Άλφα", "ёлка", "ｆｕｌｌ", "été", "plain"]
     df = spark.createDataFrame(list(enumerate(words)), "i int, t string")
