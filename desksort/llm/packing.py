@@ -41,7 +41,7 @@ from .common import stored
 LENGTH = 2048
 PER_CELL = 16_384
 TOGETHER = 20_000  # new words that are encoded as one text
-WORDS_KEPT = 400_000  # words whose ids a worker remembers
+WORDS_KEPT = 800_000  # words whose ids a worker remembers
 GROUP = 4_000_000  # bytes of text that are looked up together
 
 
@@ -80,10 +80,10 @@ class WordCodec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [cut_words(t) for t in texts]
-        wanted = {w for words in cut for w in words}
-        missing = [w for w in wanted if w not in self.known]
+        wanted = set().union(*cut)
+        missing = wanted.difference(self.known)
         if len(self.known) + len(missing) > WORDS_KEPT:
-            self.known = {w: self.known[w] for w in wanted.difference(missing)}
+            self.known = {w: self.known[w] for w in wanted - missing}
         plain, others = [], []
         for word in missing:
             (plain if word.decode().isalpha() else others).append(word)
