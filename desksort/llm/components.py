@@ -11,8 +11,8 @@ from .common import stored
 def components(links: DataFrame) -> DataFrame:
     """vertex, component (its smallest vertex) for all ends of ``links`` (a, b).
 
-    Each round, a vertex takes the smallest label among its neighbours, then the
-    label of its label, so labels travel twice as far each time. Minima are added
+    Each round, a vertex takes the smallest label that a neighbour has newly got, then
+    the label of its label, so labels travel twice as far each time. Minima are added
     up before they are shuffled; a vertex with many links meets its label in a
     join that Spark splits.
     """
@@ -22,9 +22,10 @@ def components(links: DataFrame) -> DataFrame:
         edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "vertex"),
         "component-labels",
     )
+    offers = labels.where("label <> vertex")
     while True:
-        near = edges.join(labels.withColumnsRenamed({"vertex": "b"}), "b").groupBy("a").agg(F.min("label").alias("near"))
-        nearer = labels.join(near, F.col("vertex") == F.col("a")).select(
+        near = edges.join(offers.withColumnsRenamed({"vertex": "b"}), "b").groupBy("a").agg(F.min("label").alias("near"))
+        nearer = labels.join(near, F.col("vertex") == F.col("a"), "left").select(
             "vertex", "label", F.least("label", "near").alias("next")
         )
         jump = labels.select(F.col("vertex").alias("next"), F.col("label").alias("next_label"))
@@ -35,5 +36,6 @@ def components(links: DataFrame) -> DataFrame:
             "component-labels",
         )
         labels = moved.select("vertex", F.col("to").alias("label"))
+        offers = moved.where(F.col("to") != F.col("was")).select("vertex", F.col("to").alias("label"))
         if moved.where(F.col("to") != F.col("was")).isEmpty():
             return labels.withColumnRenamed("label", "component")
