@@ -3,26 +3,32 @@
 A base rule fails texts that are too short or repeat themselves. The others are
 judged by their statistics: transformed, they form one vector per text, and per
 language and source a minimum-covariance-determinant estimate gives centre and
-scatter of the ``coverage`` share of the vectors that lie closest together. A
-text whose squared Mahalanobis distance exceeds the chi-square quantile of
-``tail`` is rejected. Everything is DataFrame functions.
-
-The estimate starts from medians and quartiles and takes ``steps`` concentration
-steps: moments of the chosen vectors, distances of all, the closest share again.
+scatter of the ``coverage`` share of the vectors (half of them, and a few more) that
+lie closest together. A text whose squared Mahalanobis distance exceeds the
+chi-square quantile of ``tail`` is rejected. Everything is DataFrame functions.
+
+Equal texts of a group count as one vector in the estimate, so copies of one text
+cannot outvote the others; each copy is judged. The estimate starts from two places:
+medians and quartiles, and the shortest half of each feature. Neither starts inside
+less than half of the vectors, although where different texts with almost one vector
+are a third of a group, a start among them could reach a lower determinant. Each takes two concentration steps (moments of the chosen vectors, distances
+of all, the closest share again); the start with the least determinant goes on until
+its determinant stops falling, and the least one met is kept. All vectors within the
+central ``CENTRAL`` of the chi-square distribution then give the final moments.
 Vectors are whole numbers of 1/1024 and sums of them are exact, so reruns agree.
-Quantiles come from counts per bin (64 per feature unit, 8 per factor of two of
+Quantiles come from counts per bin (64 per feature unit, 32 per factor of two of
 the distance), which a task adds up before anything is shuffled. A variance that is
 estimated below a feature's least deviation is raised to it, so that a statistic that
 is the same in nearly all texts does not reject the few that differ a little; any
 feature can reject a text alone.
 
-Groups below ``least_rows`` vectors are judged with the other small groups of
+Groups below ``least_rows`` distinct texts are judged with the other small groups of
 their language, and if those are few as well, with all that is left.
 
 Defined cases: null and empty texts have zero counts and fail the base rule;
 null languages and sources are values of their own; repeated rows count as
-often as they occur; fewer than ``least_rows`` vectors in all reject nothing; no
-rows give no rows. Extra columns may have any names.
+often as they occur, once in the estimate; fewer than ``least_rows`` distinct texts
+in all reject nothing; no rows give no rows. Extra columns may have any names.
 """
 
 from __future__ import annotations
@@ -47,6 +53,8 @@ FLOORS = (0.29 / UNIT,) * 5
 # a line or passage that repeats by chance change in a text of ordinary length.
 LEAST = (0.05, 0.15, 0.03, 0.12, 0.06)
 D = len(FEATURES)
+CENTRAL = 0.975
+FALLING = 1e-3  # of half the determinant's logarithm
 
 
 def _gamma_share(a: float, x: float) -> float:
@@ -93,13 +101,14 @@ def _vector(s: str = "stats") -> Column:
 
 
 def measured(docs: DataFrame, carry: list[str], text: str, lang: str, source: str) -> DataFrame:
-    """row (the carried columns), stats, lang, source, vector."""
+    """row (the carried columns), stats, lang, source, copy (of the text), vector."""
     packed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(source).alias("source"),
     )
     return (
         with_statistics(packed, "text")
+        .withColumn("copy", F.xxhash64("text"))
         .drop("text")
         .withColumn("failed", base_failed())
         .withColumn("vector", _vector())
@@ -137,15 +146,15 @@ def _x(i: int) -> Column:
     return F.get("vector", F.lit(i))
 
 
-def _first_bin(counted: DataFrame, keys: list[str], shares: list[float]) -> DataFrame:
-    """Per key and share, the lowest bin up to which that share of the rows lies."""
+def _first_bin(counted: DataFrame, keys: list[str], needs: list) -> DataFrame:
+    """Per key and need (rows out of all), the lowest bin up to which as many lie."""
     each = Window.partitionBy(*keys)
     up_to = each.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = counted.withColumn("up_to", F.sum("n").over(up_to)).withColumn("all", F.sum("n").over(each))
     return reached.groupBy(*keys).agg(
         *[
-            F.min(F.when(F.col("up_to") >= F.ceil(F.col("all") * s), F.col("bin"))).alias(f"b{k}")
-            for k, s in enumerate(shares)
+            F.min(F.when(F.col("up_to") >= need(F.col("all")), F.col("bin"))).alias(f"b{k}")
+            for k, need in enumerate(needs)
         ]
     )
 
@@ -160,39 +169,61 @@ def _distance(c: str = "p") -> Column:
     return reduce(add, [t * t for t in total])
 
 
+GRID = 20  # a feature's quantiles that the starts look at
+
+
 def _start(rows: DataFrame) -> DataFrame:
-    """Medians, and a diagonal triangle of quartile ranges, per group."""
+    """group, start, p: centres and diagonal triangles from medians and quartiles, and
+    from the shortest half of each feature, by a grid of quantiles."""
     long = rows.select(
         "group", F.posexplode(F.transform("vector", lambda v: F.floor(v / F.lit(UNIT // 64)))).alias("f", "bin")
     )
     counted = long.groupBy("group", "f", "bin").agg(F.count("*").alias("n"))
-    points = _first_bin(counted, ["group", "f"], [0.25, 0.5, 0.75])
+    needs = [lambda n, k=k: F.ceil(n * k / GRID) for k in range(GRID + 1)]
+    points = _first_bin(counted, ["group", "f"], needs)
     floors = F.array(*[F.lit(s * UNIT) for s in LEAST])
-    middle = (F.col("b1") + 0.5) * (UNIT // 64)
-    spread = F.greatest((F.col("b2") - F.col("b0")) * (UNIT / 64 / 1.349), F.get(floors, F.col("f")))
-    sorted_by = F.array_sort(F.collect_list(F.struct("f", middle.alias("m"), (1 / spread).alias("w"))))
-    start = points.groupBy("group").agg(sorted_by.alias("s"))  # one entry per feature
+
+    def placed(middle: Column, width: Column) -> Column:
+        """``width``: of what is 1.349 deviations where vectors are normal."""
+        spread = F.greatest(width * (UNIT / 64 / 1.349), F.get(floors, F.col("f")))
+        return F.struct("f", ((middle + 0.5) * (UNIT // 64)).alias("m"), (1 / spread).alias("w"))
+
+    half = GRID // 2
+    spans = [
+        F.struct((F.col(f"b{k + half}") - F.col(f"b{k}")).alias("width"), F.lit(abs(2 * k - half)).alias("off"),
+                 (F.col(f"b{k + half}") + F.col(f"b{k}")).alias("ends"))
+        for k in range(GRID + 1 - half)
+    ]
+    least = F.array_min(F.array(*spans))
+    starts = [
+        placed(F.col(f"b{half}").cast("double"), F.col(f"b{3 * half // 2}") - F.col(f"b{half // 2}")),
+        placed(least["ends"] / 2, least["width"]),
+    ]
+    features = points.select("group", F.posexplode(F.array(*starts)).alias("start", "feature"))
+    start = features.groupBy("group", "start").agg(  # one entry per feature
+        F.array_sort(F.collect_list("feature")).alias("s")
+    )
     triangle = [
         F.get("s.w", F.lit(i)) if i == j else F.lit(0.0) for i in range(D) for j in range(i + 1)
     ]
     return start.select(
-        "group", F.struct(F.col("s.m").alias("centre"), F.array(*triangle).alias("triangle")).alias("p")
+        "group", "start", F.struct(F.col("s.m").alias("centre"), F.array(*triangle).alias("triangle")).alias("p")
     )
 
 
-def _moments(chosen: DataFrame) -> DataFrame:
+def _moments(chosen: DataFrame, keys: tuple = ("group",)) -> DataFrame:
     """Exact sums of the chosen vectors and of their products, per group."""
     exact = lambda c: F.sum(c.cast("decimal(20,0)"))
     sums = [exact(_x(i)).alias(f"s{i}") for i in range(D)]
     products = [exact(_x(i) * _x(j)).alias(f"s{i}_{j}") for i in range(D) for j in range(i + 1)]
-    return chosen.groupBy("group").agg(F.count("*").alias("n"), *sums, *products)
+    return chosen.groupBy(*keys).agg(F.count("*").alias("n"), *sums, *products)
 
 
-def _estimate(moments: DataFrame, scale: float) -> DataFrame:
-    """Centre, and the inverse of the scatter's Cholesky factor, per group."""
-    table = moments
-    for i in range(D):
-        table = table.withColumn(f"m{i}", F.col(f"s{i}").cast("double") / F.col("n"))
+def _estimate(moments: DataFrame, scale: float, keys: tuple = ("group",)) -> DataFrame:
+    """Centre and the inverse of the scatter's Cholesky factor, and half the logarithm
+    of the scatter's determinant, per group."""
+    table = moments.withColumns({f"m{i}": F.col(f"s{i}").cast("double") / F.col("n") for i in range(D)})
+    spreads = {}
     for i in range(D):
         for j in range(i + 1):
             spread = F.col(f"s{i}_{j}").cast("double") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
@@ -200,48 +231,90 @@ def _estimate(moments: DataFrame, scale: float) -> DataFrame:
                 spread = F.greatest(spread * scale, F.lit((LEAST[i] * UNIT) ** 2)) + (FLOORS[i] * UNIT) ** 2
             else:
                 spread = spread * scale
-            table = table.withColumn(f"c{i}_{j}", spread)
+            spreads[f"c{i}_{j}"] = spread
+    table = table.withColumns(spreads)
     for j in range(D):
         used = [F.col(f"l{j}_{k}") * F.col(f"l{j}_{k}") for k in range(j)]
         table = table.withColumn(f"l{j}_{j}", F.sqrt(reduce(lambda a, b: a - b, used, F.col(f"c{j}_{j}"))))
+        below = {}
         for i in range(j + 1, D):
             used = [F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)]
-            rest = reduce(lambda a, b: a - b, used, F.col(f"c{i}_{j}"))
-            table = table.withColumn(f"l{i}_{j}", rest / F.col(f"l{j}_{j}"))
+            below[f"l{i}_{j}"] = reduce(lambda a, b: a - b, used, F.col(f"c{i}_{j}")) / F.col(f"l{j}_{j}")
+        table = table.withColumns(below) if below else table
     for i in range(D):
-        for j in range(i + 1):
-            if i == j:
-                inverse = 1 / F.col(f"l{i}_{i}")
-            else:
-                inverse = -reduce(add, [F.col(f"l{i}_{k}") * F.col(f"t{k}_{j}") for k in range(j, i)]) / F.col(f"l{i}_{i}")
-            table = table.withColumn(f"t{i}_{j}", inverse)
+        row = {f"t{i}_{i}": 1 / F.col(f"l{i}_{i}")}
+        for j in range(i):
+            used = [F.col(f"l{i}_{k}") * F.col(f"t{k}_{j}") for k in range(j, i)]
+            row[f"t{i}_{j}"] = -reduce(add, used) / F.col(f"l{i}_{i}")
+        table = table.withColumns(row)
     return table.select(
-        "group",
+        *keys,
         F.struct(
             F.array(*[F.col(f"m{i}") for i in range(D)]).alias("centre"),
             F.array(*[F.col(f"t{i}_{j}") for i in range(D) for j in range(i + 1)]).alias("triangle"),
         ).alias("p"),
+        reduce(add, [F.log(f"l{i}_{i}") for i in range(D)]).alias("det"),
     )
 
 
+def _concentrated(vectors: DataFrame, params: DataFrame, coverage: float) -> DataFrame:
+    """group, start, p, det after one concentration step of each row of ``params``."""
+    keys = ("group", "start")
+    within = chi_square_quantile(coverage, D)
+    scale = coverage / chi_square_cdf(within, D + 2)
+    bins = F.floor(32 * F.log2(_distance() + F.lit(1e-6))).cast("int")
+    far = joined(vectors, params.select(*keys, "p"), ["group"]).select(*keys, "vector", bins.alias("bin"))
+    counted = far.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
+
+    def share(n: Column) -> Column:
+        return F.greatest(F.ceil(n * coverage), F.floor((n + D + 1) / 2))
+
+    cut = stored(_first_bin(counted, list(keys), [share]), "rule-cut")
+    chosen = joined(far, cut, list(keys)).where(F.col("bin") <= F.col("b0"))
+    return stored(_estimate(_moments(chosen, keys), scale, keys), "rule-step")
+
+
+def _least(vectors: DataFrame, starts: DataFrame, coverage: float, steps: int) -> DataFrame:
+    """group, p with the least determinant that concentration reaches."""
+    tried = starts
+    for _ in range(2):
+        tried = _concentrated(vectors, tried, coverage)
+    first = F.min(F.struct("det", "start", "p")).alias("best")
+    best = stored(tried.groupBy("group").agg(first, F.lit(True).alias("moved")), "rule-best")
+    for _ in range(steps - 2):
+        moving = best.where("moved").select("group", "best.start", "best.p")
+        if moving.isEmpty():
+            break
+        step = _concentrated(vectors, moving, coverage).select("group", F.struct("det", "start", "p").alias("next"))
+        fell = F.coalesce(F.col("next.det") < F.col("best.det") - FALLING, F.lit(False))
+        best = stored(
+            best.join(step, "group", "left").select(
+                "group", F.when(fell, F.col("next")).otherwise(F.col("best")).alias("best"), fell.alias("moved")
+            ),
+            "rule-best",
+        )
+    return best.select("group", "best.p")
+
+
 def estimates(
-    rows: DataFrame, coverage: float = 0.75, steps: int = 3, least_rows: int = 50
+    rows: DataFrame, coverage: float = 0.5, steps: int = 50, least_rows: int = 50
 ) -> DataFrame:
-    """lang, source, p (centre, triangle), from rows of lang, source, vector."""
+    """lang, source, p (centre, triangle), from rows of lang, source, vector and, if
+    equal texts are to count once, copy. ``steps`` stops a determinant that falls
+    without end; with 0, medians and quartiles are the estimate."""
+    if "copy" in rows.columns:
+        rows = stored(rows.select("lang", "source", "copy", "vector").distinct(), "rule-texts")
     groups = stored(_groups(rows, least_rows), "rule-groups")
     vectors = stored(
         joined(rows, groups, ["lang", "source"]).select("group", "vector"), "rule-vectors"
     )
-    within = chi_square_quantile(coverage, D)
-    scale = coverage / chi_square_cdf(within, D + 2)
-    params = stored(_start(vectors), "rule-step")
-    bins = F.floor(8 * F.log2(_distance() + F.lit(1e-6))).cast("int")
-    for _ in range(steps):
-        far = joined(vectors, params, ["group"]).select("group", "vector", bins.alias("bin"))
-        counted = far.groupBy("group", "bin").agg(F.count("*").alias("n"))
-        cut = stored(_first_bin(counted, ["group"], [coverage]), "rule-cut")
-        chosen = joined(far, cut, ["group"]).where(F.col("bin") <= F.col("b0"))
-        params = stored(_estimate(_moments(chosen), scale), "rule-step")
+    starts = stored(_start(vectors), "rule-step")
+    if steps == 0:
+        return groups.join(starts.where("start = 0"), "group").select("lang", "source", "p")
+    params = _least(vectors, starts, coverage, steps)
+    within = chi_square_quantile(CENTRAL, D)
+    central = joined(vectors, params, ["group"]).where(_distance() <= F.lit(within))
+    params = stored(_estimate(_moments(central), CENTRAL / chi_square_cdf(within, D + 2)), "rule-step")
     return groups.join(params, "group").select("lang", "source", "p")
 
 
@@ -269,7 +342,7 @@ def apply_rules(
 ) -> DataFrame:
     """Per row of ``docs``: row.doc_id, stats, failed, distance, kept."""
     rows = stored(measured(docs, [doc_id], text, lang, source), "rule-rows")
-    fitted = estimates(rows.where(~F.col("failed")).select("lang", "source", "vector"), **settings)
+    fitted = estimates(rows.where(~F.col("failed")).select("lang", "source", "copy", "vector"), **settings)
     return judged(rows, stored(fitted, "rule-estimates"), tail)
 
 
@@ -285,7 +358,7 @@ def keep_good(
     for the estimates and once beside their row, and never shuffled for it
     unless the estimates outgrow a broadcast."""
     rows = measured(docs, [lang], text, lang, source).where(~F.col("failed"))
-    rows = stored(rows.select("lang", "source", "vector"), "rule-rows")
+    rows = rows.select("lang", "source", "copy", "vector")
     params = stored(estimates(rows, **settings), "rule-estimates")
     return judged(measured(docs, docs.columns, text, lang, source), params, tail).where("kept").select("row.*")
 

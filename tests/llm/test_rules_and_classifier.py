@@ -63,6 +63,53 @@ def test_outliers_go_and_clean_stay(spark):
     assert {r["doc_id"] for r in qr.keep_good(df).collect()} == {k for k, v in kept.items() if v}
 
 
+@pytest.mark.parametrize("share", [0.3, 0.4, 0.45])
+def test_copies_of_an_odd_text_go(spark, share):
+    """However many they are, they count as one text; clean texts stay."""
+    clean = [(i, prose(i, 40 + i % 50), "en", "s") for i in range(300)]
+    odd = " ".join(w + "###$$" for w in prose(7, 60).split())
+    copies = [(1000 + i, odd, "en", "s") for i in range(round(300 * share / (1 - share)))]
+    df = frame(spark, clean + copies, "doc_id long, text string, lang string, source string")
+    kept = {r["row"]["doc_id"]: r["kept"] for r in qr.apply_rules(df).collect()}
+    assert not any(kept[i] for i, *_ in copies) and sum(kept[i] for i, *_ in clean) >= 297
+
+
+def odd_share(share, width=0.25, n=400):
+    """Normal vectors, and a share of others far away, so many times as wide."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(n, 5)) * [0.2, 0.4, 0.1, 0.3, 0.2]
+    x[: int(n * share)] = x[: int(n * share)] * width + [3, 4, 1, 3, 2]
+    return np.round(x * qr.UNIT).astype(int)
+
+
+@pytest.mark.parametrize("share, width", [(0.0, 1.0), (0.3, 0.25), (0.4, 1.0)])
+def test_least_determinant_leaves_odd_vectors_out(spark, share, width):
+    x = odd_share(share, width)
+    df = frame(spark, [("en", "s", [int(v) for v in row]) for row in x], "lang string, source string, vector array<long>")
+    p = qr.estimates(df).collect()[0]["p"]
+    lower = np.zeros((5, 5))
+    lower[np.tril_indices(5)] = p["triangle"]
+    far = (((x - np.array(p["centre"])) @ lower.T) ** 2).sum(axis=1)
+    odd = int(len(x) * share)
+    assert (far[:odd] > 100).all() and (far[odd:] < qr.chi_square_quantile(0.9999, 5)).all()
+
+
+def test_determinants_fall(spark):
+    x = odd_share(0.35)
+    vectors = frame(spark, [("g", [int(v) for v in row]) for row in x], "group string, vector array<long>")
+    params, found = qr._start(vectors), []
+    for _ in range(4):
+        params = qr._concentrated(vectors, params, 0.5)
+        found.append({r["start"]: r["det"] for r in params.collect()})
+    assert all(b[s] <= a[s] + 0.02 for a, b in zip(found, found[1:]) for s in a)
+    # The kept one is about the least met, and its half of the vectors is no odd one.
+    best = qr._least(vectors, qr._start(vectors), 0.5, 50).collect()[0]["p"]
+    lower = np.zeros((5, 5))
+    lower[np.tril_indices(5)] = best["triangle"]
+    assert -np.log(np.diag(lower)).sum() <= min(found[-1].values()) + 0.02
+    assert np.abs(np.array(best["centre"]) / qr.UNIT).max() < 0.2
+
+
 def test_duplicate_lines_and_repeats_reject(spark):
     """Either feature alone suffices in a group of clean texts."""
     once = "river stones"
