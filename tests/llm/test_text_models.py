@@ -76,6 +76,11 @@ def test_model_beats_frequencies_on_held_out(spark):
     got = lm.score_documents(df).where("held_out").collect()
     assert sum(r["score"] for r in got) > 0.9 * sum(r["base_score"] for r in got)
     assert lm.score_documents(empty(spark)).count() == 0
+    # In many small pieces the model learns as much.
+    parted = lm.score_documents(df.repartition(24)).where("held_out").collect()
+    whole, pieces = sum(r["score"] for r in got), sum(r["score"] for r in parted)
+    assert abs(pieces - whole) < 0.02 * abs(whole)
+    assert pieces > 0.9 * sum(r["base_score"] for r in parted)
 
 
 LIBRARY = tokenizers.Tokenizer.from_file(tokenizer_path())
