@@ -11,10 +11,14 @@ with weights that fall with distance; isotonic regression on labelled documents
 are no examples turns votes into probabilities. The nearest examples are given as
 evidence.
 
-Search: every document is compared with every example. The most common terms are one
-product of matrices in single precision, the others are added from their postings;
-examples that come near the k-th best sum are computed again in double precision.
-Equal cosines go to the smaller id.
+Search: examples that are alike stand side by side (same marking terms, then spherical
+k-means over the most common terms) and are cut into blocks. The inverted index keeps,
+per term and block, the greatest weight and the postings; for the most common terms,
+which stand in most blocks, both are matrices. The block maxima bound the cosine with
+any example of a block; the blocks with the best bounds give a k-th best cosine, and
+only blocks whose bound reaches it are summed, in single precision with a margin.
+Examples that come near the k-th best sum are computed again in double precision, so
+no example that belongs to the answer is skipped. Equal cosines go to the smaller id.
 
 The model comes from a bounded sample of labelled rows, a parameter: per class at
 most ``examples`` rows, and at most ``calibration`` others, those whose ids hash
@@ -40,6 +44,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,11 +57,13 @@ NEAREST = 16
 CELLS = 1000
 RICH = 3  # marking terms in a text beyond which more are not told apart
 MARKED = 0.9  # of a vector's squared length is of the marking terms, if it has any
-DENSE = 512  # terms with most examples, compared by a product of matrices
-TOGETHER = 64  # documents compared at once
+BLOCK = 32  # examples
+FIRST = 4  # blocks summed first, for a k-th best cosine
+COMMON = 1024  # terms with most examples
+TOGETHER = 256  # documents compared at once
+CENTRES = 128
 CLOSE = 0.01  # distance below which a neighbour weighs no more
 MARGIN = 1e-4  # more than sums in single precision can be off
-MOST_TERMS = 4096
 
 
 def terms(text: str | None) -> list[str]:
@@ -88,10 +95,13 @@ class Space:
         if self._term is None:
             self._term = {t: i for i, t in enumerate(self.names)}
         found = Counter(terms(text))
-        pairs = sorted((self._term[t], n) for t, n in found.items() if t in self._term)
-        other = sum((1 + math.log(n)) ** 2 for t, n in found.items() if t not in self._term)
-        at = np.array([i for i, _ in pairs], dtype=np.int32)
-        return at, np.array([n for _, n in pairs], dtype=np.int32), other * self.unseen**2
+        at = np.array([self._term.get(t, -1) for t in found], dtype=np.int32)
+        tf = np.fromiter(found.values(), dtype=np.int32, count=len(found))
+        known = at >= 0
+        other = float(((1 + np.log(tf[~known])) ** 2).sum()) * self.unseen**2
+        at, tf = at[known], tf[known]
+        order = np.argsort(at)
+        return at[order], tf[order], other
 
     def vector(self, at: np.ndarray, tf: np.ndarray, other: float = 0.0) -> tuple[np.ndarray, np.ndarray]:
         """Places and weights of the unit vector."""
@@ -114,9 +124,43 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
+def _common(at: np.ndarray, size: int) -> np.ndarray:
+    """Per place its number among those that stand there most often, or -1."""
+    often = np.bincount(at, minlength=size)
+    column = np.full(size, -1, dtype=np.int32)
+    column[np.argsort(-often, kind="stable")[:COMMON]] = np.arange(min(size, COMMON))
+    return column
+
+
+def _alike(starts: np.ndarray, at: np.ndarray, w: np.ndarray, size: int, names: int) -> np.ndarray:
+    """An order in which vectors that are alike come together: by their last place
+    beyond the names, by spherical k-means over common places, by number of places."""
+    n = len(starts) - 1
+    rows = np.repeat(np.arange(n), np.diff(starts))
+    column = _common(at, size)
+    own = column[at] >= 0
+    vectors = np.zeros((n, column.max(initial=-1) + 1), dtype=np.float32)
+    vectors[rows[own], column[at[own]]] = w[own]
+
+    def unit(m: np.ndarray) -> np.ndarray:
+        return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+
+    vectors = unit(vectors)
+    centres = vectors[np.linspace(0, n - 1, min(n, CENTRES)).astype(int)]
+    for _ in range(5):
+        group = (vectors @ centres.T).argmax(axis=1)
+        member = np.zeros((len(centres), n), dtype=np.float32)
+        member[group, np.arange(n)] = 1
+        centres = unit(member @ vectors)
+    last = np.zeros(n, dtype=np.int64)
+    beyond = at >= names
+    np.maximum.at(last, rows[beyond], at[beyond])
+    return np.lexsort((np.diff(starts), group, last))
+
+
 class Index:
-    """Unit vectors of examples, and their postings by term. Examples with equal
-    vectors are compared once."""
+    """Unit vectors of examples, and their postings by term and block. Examples with
+    equal vectors are compared once."""
 
     def __init__(self, weight: dict[str, float], rows: list[tuple[int, int, dict[str, float]]]):
         """weight: idf of each term; rows: id, label and vector of each example."""
@@ -144,6 +188,10 @@ class Index:
             if len(row[2]):
                 groups.setdefault(row[2].tobytes() + row[3].tobytes(), []).append(row)
         own = sorted((sorted(g, key=lambda r: r[:2]) for g in groups.values()), key=lambda g: g[0][:2])
+        if own:
+            ends = np.append(0, np.cumsum([len(g[0][2]) for g in own]))
+            at, w = (np.concatenate([g[0][i] for g in own]) for i in (2, 3))
+            own = [own[i] for i in _alike(ends, at, w, space.size, len(space.names))]
         members = [r for g in own for r in g]
         self.ids = np.array([r[0] for r in members], dtype=np.int64)
         self.labels = np.array([r[1] for r in members], dtype=np.float64)
@@ -157,22 +205,29 @@ class Index:
         return self.__dict__ | {"_postings": None}
 
     def postings(self) -> tuple:
-        """Common terms' rows and matrix; starts, examples and weights of the others."""
+        """Columns of the common terms (-1: none), their weights by example and their
+        greatest weights by block. Of the other terms: starts of their blocks; the
+        blocks, their greatest weights and starts of their postings; examples and
+        weights of the postings."""
         if self._postings is None:
-            size, n = self.space.size, len(self.starts) - 1
+            n, size = len(self.starts) - 1, self.space.size
             rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.starts))
-            often = np.bincount(self.at, minlength=size)
-            common = np.argsort(-often, kind="stable")[:DENSE]
-            row = np.full(size, -1, dtype=np.int32)
-            row[common] = np.arange(len(common))
-            dense = row[self.at] >= 0
-            table = np.zeros((len(common), n), dtype=np.float32)
-            table[row[self.at[dense]], rows[dense]] = self.w[dense]
+            column = _common(self.at, size)
+            dense = column[self.at] >= 0
+            table = np.zeros((-(-n // BLOCK) * BLOCK, column.max(initial=-1) + 1), dtype=np.float32)
+            table[rows[dense], column[self.at[dense]]] = self.w[dense]
+            tops = table.reshape(-1, BLOCK, table.shape[1]).max(axis=1).T.copy()
             by_term = np.flatnonzero(~dense)
-            by_term = by_term[np.argsort(self.at[by_term], kind="stable")]
-            often[common] = 0
-            starts = np.append(0, np.cumsum(often))
-            self._postings = row, table, starts, rows[by_term], self.w[by_term].astype(np.float32)
+            by_term = by_term[np.argsort(self.at[by_term], kind="stable")]  # in a term, by example
+            term, rows, weights = self.at[by_term], rows[by_term], self.w[by_term].astype(np.float32)
+            blocks = rows // BLOCK
+            new = np.ones(len(term), dtype=bool)
+            new[1:] = (term[1:] != term[:-1]) | (blocks[1:] != blocks[:-1])
+            first = np.flatnonzero(new)
+            most = np.maximum.reduceat(weights, first) if len(first) else weights
+            starts = np.append(0, np.cumsum(np.bincount(term[first], minlength=size)))
+            others = starts, blocks[first], most, np.append(first, len(term)), rows, weights
+            self._postings = column, table, tops, *others
         return self._postings
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -182,23 +237,60 @@ class Index:
     def nearest_of(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEAREST) -> list:
         """Per vector, places and cosines of the k nearest examples, nearest first."""
         none = np.zeros(0, dtype=np.int64), np.zeros(0)
-        n = len(self.starts) - 1
-        if not n:
+        if len(self.starts) < 2:
             return [none for _ in vectors]
-        row, table, starts, examples, weights = self.postings()
-        asked = np.zeros((len(vectors), len(table)), dtype=np.float32)
-        for one, (at, w) in zip(asked, vectors):
-            dense = row[at] >= 0
-            one[row[at[dense]]] = w[dense]
-        sums = asked @ table
-        whole, out = np.zeros(self.space.size), []
-        for total, (at, w) in zip(sums, vectors):
+        column, table, tops, starts, blocks, most, first, examples, weights = self.postings()
+        n_blocks = tops.shape[1]
+        asked = np.zeros((len(vectors), len(tops)), dtype=np.float32)
+        others, lists = np.zeros((len(vectors), n_blocks), dtype=np.float32), []
+        for i, (at, w) in enumerate(vectors):
+            dense = column[at] >= 0
+            asked[i, column[at[dense]]] = w[dense]
+            at, w = at[~dense], w[~dense].astype(np.float32)
             sizes = starts[at + 1] - starts[at]
-            own = _ranges(starts[at], sizes)
-            if len(own):
-                total += np.bincount(examples[own], np.repeat(w, sizes) * weights[own], n)
-            least = np.partition(total, n - k)[n - k] - MARGIN if n > k else 0.0
-            near = np.flatnonzero(total >= least if least > 0 else total > 0)
+            own, weight = _ranges(starts[at], sizes), np.repeat(w, sizes)
+            lists.append((own, blocks[own], weight))
+            others[i] = np.bincount(blocks[own], weight * most[own], n_blocks)
+        bounds = others + asked @ tops
+        sums = np.zeros((len(vectors), n_blocks, BLOCK), dtype=np.float32)
+
+        def add_common(some: np.ndarray) -> None:
+            """The common terms' part of the sums, for the blocks chosen for each vector."""
+            for block in np.flatnonzero(some.any(axis=0)):
+                here = np.flatnonzero(some[:, block])
+                sums[here, block] = asked[here] @ table[block * BLOCK : (block + 1) * BLOCK].T
+
+        def add_others(some: np.ndarray) -> None:
+            for total, chosen, (own, of, weight) in zip(sums.reshape(len(vectors), -1), some, lists):
+                here = np.flatnonzero(chosen[of])
+                if not len(here):
+                    continue
+                own = own[here]
+                sizes = first[own + 1] - first[own]
+                those = _ranges(first[own], sizes)
+                np.add.at(total, examples[those], np.repeat(weight[here], sizes) * weights[those])
+
+        tried = np.zeros(bounds.shape, dtype=bool)
+        needed = min(n_blocks, -(-k // BLOCK) + FIRST)
+        best = np.argpartition(bounds, n_blocks - needed, axis=1)[:, n_blocks - needed :]
+        np.put_along_axis(tried, best, True, axis=1)
+        add_common(tried)
+        add_others(tried)
+        seen = np.take_along_axis(sums, best[:, :, None], axis=1).reshape(len(vectors), -1)
+        kth = max(0, seen.shape[1] - k)
+        least = np.maximum(np.partition(seen, kth, axis=1)[:, kth] - MARGIN, 0) if seen.shape[1] > k else np.zeros(len(seen))
+        left = (bounds > least[:, None]) & ~tried
+        add_common(left)
+        # With the common terms summed, the others' bound leaves fewer blocks.
+        left &= sums.max(axis=2) + others > least[:, None]
+        sums[~(left | tried)] = 0
+        add_others(left)
+
+        whole, out = np.zeros(self.space.size), []
+        for total, low, (at, w) in zip(sums.reshape(len(vectors), -1), least, vectors):
+            near = np.flatnonzero(total > low)
+            if len(near) > k:
+                near = near[total[near] >= np.partition(total[near], len(near) - k)[len(near) - k] - MARGIN]
             if not len(near):
                 out.append(none)
                 continue
@@ -294,16 +386,16 @@ def choose_terms(rows: DataFrame, level: float = 0.01, lift: float = 3.0) -> Spa
     chi = np.where(spread > 0, (ones * every - n * toxic) ** 2 * every / np.where(spread > 0, spread, 1), 0.0)
     of_ones, of_others = ones / toxic, (n - ones) / (every - toxic)
     common = np.flatnonzero((ones > 0) & (of_ones >= lift * of_others))
-    best = common[np.argsort(-chi[common], kind="stable")][:MOST_TERMS]
     least = NormalDist().inv_cdf(1 - level / max(1, len(names)) / 2) ** 2
-    return Space(names, idf, best[chi[best] >= least], unseen)
+    return Space(names, idf, common[chi[common] >= least], unseen)
 
 
 class Model:
-    """curves: for no neighbour and 0 to RICH marking terms, knots and values."""
+    """shared: the index, broadcast; curves: for no neighbour and 0 to RICH marking
+    terms, knots and values."""
 
-    def __init__(self, index: Index, curves: list[tuple[np.ndarray, np.ndarray]]):
-        self.index, self.curves = index, curves
+    def __init__(self, shared: Broadcast, curves: list[tuple[np.ndarray, np.ndarray]]):
+        self.shared, self.curves = shared, curves
 
     def score(self, rich: int, vote: float) -> float:
         return float(np.interp(vote, *self.curves[rich]))
@@ -370,7 +462,7 @@ def fit(
             )
         else:
             curves.append((np.array([0.0]), np.array([0.5])))
-    return Model(index, curves)
+    return Model(shared, curves)
 
 
 def score_documents(
@@ -379,20 +471,20 @@ def score_documents(
     """Per row of ``docs``: doc_id, score, predicted, evidence (the nearest
     examples: their id, similarity and label)."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    shared = source.sparkSession.sparkContext.broadcast(fit(source, labels, **settings))
+    model = fit(source, labels, **settings)
     evidence = pa.list_(
         pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("label", pa.int32())])
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        index = model.shared.value
         for batch in batches:
             scores, near = [], []
-            for rich, vote, places, cosines in model.index.votes(t.as_py() for t in batch.column(1)):
+            for rich, vote, places, cosines in index.votes(t.as_py() for t in batch.column(1)):
                 scores.append(model.score(rich, vote))
                 near.append(
                     [
-                        {"doc_id": int(model.index.ids[p]), "similarity": float(c), "label": int(model.index.labels[p])}
+                        {"doc_id": int(index.ids[p]), "similarity": float(c), "label": int(index.labels[p])}
                         for p, c in zip(places[:5], cosines)
                     ]
                 )

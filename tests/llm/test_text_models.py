@@ -156,6 +156,35 @@ def test_nearest_equals_brute_force():
         assert [(-round(c, 9) + 0.0, int(index.ids[p])) for p, c in zip(places, found)] == want
 
 
+def test_nearest_equals_brute_force_with_marking_terms(monkeypatch):
+    """The search in use: marking terms, many blocks, rare and common terms, whole batches."""
+    monkeypatch.setattr(toxicity, "COMMON", 20)
+    rng = np.random.default_rng(3)
+    names = [f"t{i:03}" for i in range(400)]
+    idf = 1 + rng.random(len(names)) * 5
+    space = toxicity.Space(names, idf, np.array([5, 60, 61, 200, 399]), 7.0)
+    odds = 1 / np.arange(1, 401)
+
+    def text(kind: int) -> str:
+        n = int(rng.integers(1, 40))
+        own = (rng.choice(400, n, p=odds / odds.sum()) + 100 * kind) % 400
+        return " ".join(names[i] for i in own) + (" other" if rng.random() < 0.3 else "")
+
+    texts = [text(i % 4) for i in range(1200)]
+    texts[700:720] = texts[:20]  # equal vectors
+    vectors = [space.vector(*space.counts(t)[:2]) for t in texts]
+    index = toxicity.Index.of(space, [(10_000 - i, i % 2, *v) for i, v in enumerate(vectors)])
+    table = np.zeros((len(texts), space.size))
+    for row, (at, w) in zip(table, vectors):
+        row[at] = w
+    asked = [index.vector(t) for t in [*texts[:100], *(text(i % 5) for i in range(300)), "", "nothing known"]]
+    for (at, w), (places, cosines) in zip(asked, index.nearest_of(asked)):
+        whole = table[:, at] @ w
+        want = sorted((-round(c, 9), 10_000 - i) for i, c in enumerate(whole) if c > 0)[: toxicity.NEAREST]
+        assert [int(i) for i in index.ids[places]] == [i for _, i in want]
+        assert np.allclose(cosines, [-c for c, _ in want], atol=1e-8)
+
+
 def test_toxicity_learns_and_leaves_clean_alone(spark):
     rng = random.Random(1)
     rows, known = [], []
