@@ -47,7 +47,7 @@ GROUP = 4_000_000  # bytes of text that are looked up together
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # The tokenizer always cuts between a letter and such a character.
-_end_of_word = re.compile(rb"(?<=[A-Za-z])(?=[.,;:!?])")
+_end_of_word = re.compile(rb"[.,;:!?](?<=[A-Za-z].)")
 
 
 def cut_words(text: str) -> list[bytes]:
@@ -59,7 +59,7 @@ def cut_words(text: str) -> list[bytes]:
     raw = text.encode()
     if b"<|" not in raw and b"\xcc" not in raw:
         raw = raw.translate(LOWER)
-    return _end_of_word.sub(b" ", raw).split()
+    return _end_of_word.sub(rb" \g<0>", raw).split()
 
 
 class WordCodec:
