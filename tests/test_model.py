@@ -269,6 +269,35 @@ def test_gradient_shows_the_optimum(spark, prepared, trained):
     assert certificate.at_optimum(certificate.loss_gradient(rows, bent, "ordinal"), n).where("NOT at_optimum").count() > 0
 
 
+def test_table_scores_shuffle_one_row_per_text(spark, prepared, trained):
+    _, _, folder = trained
+    table = spark.read.parquet(f"{folder}/coefficients")
+    rows = read_split(spark, prepared[0], "test")
+    scored = certificate.table_scores(rows, table, "ordinal")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange hashpartitioning") == 1
+    # What the batches sum up is what the rows' own terms give, one by one.
+    weights = {(r["label"], r["term"]): (r["idf"], r["coefficient"]) for r in table.collect()}
+    found = {r["ordinal"]: r for r in scored.collect()}
+    terms = features.with_terms(rows.select("ordinal", "text_clean"), "text_clean", "terms")
+    for r in terms.limit(5).collect():
+        tf = {t: n for t, n in Counter(r["terms"]).items() if (0, t) in weights}
+        length = sum((n * weights[0, t][0]) ** 2 for t, n in tf.items()) ** 0.5
+        margins = [
+            weights[k, ""][1] + sum(n * weights[k, t][0] * weights[k, t][1] for t, n in tf.items()) / (length or 1.0)
+            for k in range(3)
+        ]
+        shares = np.exp(np.array(margins) - max(margins))
+        assert found[r["ordinal"]]["length"] == pytest.approx(length)
+        assert found[r["ordinal"]]["probabilities"] == pytest.approx(list(shares / shares.sum()))
+    # A null text has the intercepts alone; rows of one key add up.
+    none = rows.limit(1).select("ordinal", F.lit(None).cast("string").alias("text_clean"))
+    assert [r["length"] for r in certificate.table_scores(none, table, "ordinal").collect()] == [0.0]
+    twice = certificate.table_scores(rows.union(rows), table, "ordinal").collect()
+    assert {r["ordinal"] for r in twice} == set(found) and len(twice) == len(found)
+    assert all(r["length"] == pytest.approx(found[r["ordinal"]]["length"] * 2**0.5) for r in twice)
+
+
 def test_model_info_is_a_table(spark, trained):
     model, _, folder = trained
     row = spark.read.parquet(f"{folder}/info").first()
