@@ -231,3 +231,16 @@ def test_toxicity_finds_copies_and_rare_kinds(spark):
     assert len(copies) > 4 and all(got[8000 + i]["predicted"] for i in copies)  # the others were no examples
     assert all(got[9000 + i]["predicted"] for i in range(12))
     assert all(r["evidence"] for r in got.values())
+
+
+def test_scores_of_all_classes_stay_in_a_cache(monkeypatch):
+    classes = lm.OWN + 1 + lm.SHARED
+    assert lm.CHUNK * classes * 4 <= 1 << 20
+    rng = np.random.default_rng(7)
+    share = rng.random(classes)
+    model = lm.Model.start(share / share.sum())
+    targets = rng.integers(0, classes, 20_000).astype(np.int16)
+    context = rng.integers(0, classes + 1, (20_000, lm.CONTEXT)).astype(np.int16)
+    found = model.log10(targets, context)
+    monkeypatch.setattr(lm, "CHUNK", 8192)
+    assert found == pytest.approx(model.log10(targets, context), abs=1e-6)
