@@ -244,3 +244,30 @@ def test_scores_of_all_classes_stay_in_a_cache(monkeypatch):
     found = model.log10(targets, context)
     monkeypatch.setattr(lm, "CHUNK", 8192)
     assert found == pytest.approx(model.log10(targets, context), abs=1e-6)
+
+
+def test_a_context_is_normalised_once(monkeypatch):
+    rng = np.random.default_rng(11)
+    share = np.full(40, 1 / 40)
+    model = lm.Model.start(share)
+    context = np.repeat(rng.integers(0, 41, (500, lm.CONTEXT)).astype(np.int16), 20, axis=0)
+    targets = rng.integers(0, 40, len(context)).astype(np.int16)
+    made = []
+    predictions = lm.Model.predictions
+
+    def counted(self, some):
+        made.append(len(some))
+        return predictions(self, some)
+
+    monkeypatch.setattr(lm.Model, "predictions", counted)
+    found = model.log10(targets, context)
+    assert sum(made) <= 500
+    assert model.log10(targets, context) == pytest.approx(found) and sum(made) <= 500
+    scores = predictions(model, context).astype(np.float64) @ model.target.T + model.bias
+    want = scores[np.arange(len(targets)), targets] - np.log(np.exp(scores).sum(axis=1))
+    assert found == pytest.approx(want / np.log(10), abs=1e-5)
+    # A step changes the model, and what was kept with it.
+    lm.Trainer(model, share, 3).step(targets[:100], context[:100])
+    scores = predictions(model, context).astype(np.float64) @ model.target.T + model.bias
+    want = scores[np.arange(len(targets)), targets] - np.log(np.exp(scores).sum(axis=1))
+    assert model.log10(targets, context) == pytest.approx(want / np.log(10), abs=1e-5)
