@@ -58,6 +58,7 @@ PIVOTS = 3  # that a set is compared with in a round
 PARTNER_SEEDS = (11, 12, 13)  # of the rounds of partners
 PARTNERS = 8  # that a set is compared with in such a round
 REMEMBERED = 100_000  # word hashes that a worker keeps
+DEALT = 16  # lists that a set's partners are dealt out in
 TOGETHER = 500  # texts whose index entries or sets are sent together
 
 
@@ -354,13 +355,20 @@ def _links(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
             )
 
     def beside(some: DataFrame, *wanted: str) -> DataFrame:
-        for c in ("b", "a"):
+        """Pairs, which should be stored, with what is wanted of both sets. A set meets
+        its partners in ``DEALT`` lists, so it is looked up once for each, not for each
+        pair, and no list holds all partners of a set with many."""
+
+        def own(c: str) -> DataFrame:
             needed = some.select(F.col(c).alias("name")).distinct()
-            own = only(members, needed, "name").select(
+            return only(members, needed, "name").select(
                 F.col("name").alias(c), *[F.col(w).alias(f"{w}_{c}") for w in wanted]
             )
-            some = some.join(own, c)
-        return some.select("a", "b", *[f"{w}_{c}" for w in wanted for c in ("a", "b")])
+
+        dealt = some.groupBy("b", F.pmod(F.xxhash64("a"), F.lit(DEALT)).alias("part"))
+        lists = dealt.agg(F.collect_list("a").alias("partners")).drop("part").join(own("b"), "b")
+        each = lists.withColumn("a", F.explode("partners")).drop("partners").join(own("a"), "a")
+        return each.select("a", "b", *[f"{w}_{c}" for w in wanted for c in ("a", "b")])
 
     near = stored(beside(pairs, "size", "bits").mapInArrow(possible, "a long, b long"), "jaccard-possible")
     return beside(near, "members").mapInArrow(run, "a long, b long")

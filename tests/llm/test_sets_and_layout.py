@@ -102,6 +102,31 @@ def test_parities_never_claim_too_much():
         assert found == jaccard.least_difference(jaccard.parities(y), jaccard.parities(x))
 
 
+def test_pairs_meet_their_sets_once(spark, monkeypatch):
+    """The sets that are needed are found out of the stored pairs, not by another join."""
+    sets = {i: np.unique(np.r_[np.arange(i % 13, 30), 100 + i % 3]).astype(np.uint64) for i in range(60)}
+    members = frame(
+        spark, [(i, len(f), jaccard.parities(f), f.tobytes()) for i, f in sets.items()],
+        "name long, size long, bits binary, members binary",
+    )
+    pairs = [(a, b) for b in (3, 7) for a in sets if a != b]
+    plans = []
+
+    def only(rows, keys, key):
+        plans.append(keys._jdf.queryExecution().optimizedPlan().toString())
+        return rows.join(keys, key, "left_semi")
+
+    monkeypatch.setattr(jaccard, "only", only)
+    got = {tuple(r) for r in jaccard._links(frame(spark, pairs, "a long, b long"), members, 75).collect()}
+    want = set()
+    for a, b in pairs:
+        both = len(np.intersect1d(sets[a], sets[b]))
+        if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+            want.add((a, b))
+    assert got == want and 0 < len(want) < len(pairs)
+    assert len(plans) == 4 and not any("Join" in p for p in plans)
+
+
 def test_components_of_chains(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     found = dict(components.components(frame(spark, pairs, "a long, b long")).collect())
