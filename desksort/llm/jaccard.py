@@ -16,9 +16,9 @@ the intersection is 75 times the union or more. Method: set relations skip work.
   main component are compared with the rest of the list, all of it. So a group
   of near copies costs a few comparisons per copy, and no link between
   components is lost.
-* Of the pairs that are left, parities of the sets (a bit or two per shingle) rule
-  out those that differ in too many shingles; the others are decided on both whole
-  sets.
+* Of the pairs that are left, parities of the sets rule out those that differ in too
+  many shingles: first 512 bits that entries of long lists carry into the join, then
+  a bit or two per shingle. The others are decided on both whole sets.
 
 Hashes have 64 bits; sets count as equal when their hash and size are. A list
 that the counts show to be very long is dealt out in several parts; the pivots
@@ -60,6 +60,7 @@ PARTNERS = 8  # that a set is compared with in such a round
 REMEMBERED = 100_000  # word hashes that a worker keeps
 DEALT = 16  # lists that a set's partners are dealt out in
 TOGETHER = 500  # texts whose index entries or sets are sent together
+SKETCH = 8  # longs of a set's parities that its entries in long lists carry
 
 
 class _WordHashes(dict):
@@ -107,6 +108,13 @@ def parities(found: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at, minlength=places).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
+def sketch(found: np.ndarray) -> list[int]:
+    """The set's parities over a fixed number of places, 64 in each of ``SKETCH`` longs."""
+    places = 64 * SKETCH
+    at = (found & np.uint64(places - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=places).astype(np.uint8) & 1, bitorder="little").view(np.int64).tolist()
+
+
 def least_difference(x: bytes, y: bytes) -> int:
     """Hashes in one set only: at least as many as there are places with
     different parities. More places are folded onto fewer."""
@@ -305,8 +313,8 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
 
 def _needed_sets(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
-    """name, size, bits and members (sorted hashes as bytes) of the named sets, out
-    of one text each."""
+    """name, size, bits, sketch and members (sorted hashes as bytes) of the named
+    sets, out of one text each."""
     ids = stored(names.join(sets, "name").select("key").distinct(), "jaccard-keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,11 +324,12 @@ def _needed_sets(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFram
                 {"name": pa.array([set_name(f) for f in found], pa.int64()),
                  "size": pa.array([len(f) for f in found], pa.int64()),
                  "bits": pa.array([parities(f) for f in found], pa.binary()),
+                 "sketch": pa.array([sketch(f) for f in found], pa.list_(pa.int64())),
                  "members": pa.array([f.tobytes() for f in found], pa.binary())}
             )
 
     texts = only(docs.select("key", "text"), ids, "key").select("text")
-    members = texts.mapInArrow(run, "name long, size long, bits binary, members binary")
+    members = texts.mapInArrow(run, "name long, size long, bits binary, sketch array<long>, members binary")
     # Only where ids repeat is there more than one text of a key.
     once = only(docs.select("key"), ids, "key").count() <= ids.count()
     return members if once else members.dropDuplicates(["name"])
@@ -380,6 +389,12 @@ def _may_link(n: Column, p: Column, m: Column, q: Column, percent: int) -> Colum
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * rest >= percent * (n + m))
 
 
+def _sketches_may_link(n: Column, x: Column, m: Column, y: Column, percent: int) -> Column:
+    """By the sketches of both sets: they differ in as many hashes at least as in places."""
+    apart = sum((F.bit_count(F.get(x, F.lit(i)).bitwiseXOR(F.get(y, F.lit(i)))) for i in range(SKETCH)), F.lit(0))
+    return (100 + percent) * (n + m - apart) >= 2 * percent * (n + m)
+
+
 def _lowest(pairs: DataFrame, rank: Column, most: int) -> DataFrame:
     """Of each b's pairs (a, b), those that rank lowest."""
     ranked = F.array_sort(F.collect_set(F.struct(rank.alias("rank"), "a")))
@@ -433,14 +448,18 @@ def _outside(known: DataFrame) -> DataFrame:
     ).where("components > 1")
     return known.join(main, "hash").where(F.col("component") != F.col("main.component")).select(
         "hash", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
-        *[F.col(c).alias(f"o_{c}") for c in ("name", "size", "pos", "component")],
+        *[F.col(c).alias(f"o_{c}") for c in ("name", "size", "pos", "component", "sketch")],
     )
 
 
 def _met_outside(some: DataFrame, outside: DataFrame, percent: int) -> DataFrame:
+    """Entries beside those outside of another component in their list and block. The
+    join itself leaves out what sizes, positions and sketches rule out: in a group of
+    near copies that is most of what lies outside its main component."""
     return some.join(outside, ["hash", "band"]).where(
         (F.col("component") != F.col("o_component"))
         & _may_link(F.col("size"), F.col("pos"), F.col("o_size"), F.col("o_pos"), percent)
+        & _sketches_may_link(F.col("size"), F.col("sketch"), F.col("o_size"), F.col("o_sketch"), percent)
     )
 
 
@@ -452,7 +471,7 @@ def _partner_pairs(known: DataFrame, seed: int, percent: int) -> DataFrame:
     h = F.xxhash64("name", F.lit(seed))
     far = F.floor(8 * F.col("pos") / F.col("size"))
     drawn = known.groupBy("hash", "band", F.pmod(h, F.lit(PARTNERS)).alias("draw")).agg(
-        F.min(F.struct(far.alias("far"), h.alias("h"), "name", "size", "pos", "component")).alias("p")
+        F.min(F.struct(far.alias("far"), h.alias("h"), "name", "size", "pos", "component", "sketch")).alias("p")
     ).select("hash", "band", "p.*")
     outside = _outside(known)
     # Where the list's shingle is in front, more sets can reach the threshold.
@@ -509,6 +528,7 @@ def _set_components(docs: DataFrame, sets: DataFrame, table: np.ndarray, percent
     )
     names = pairs.select(F.explode(F.array("a", "b")).alias("name")).union(entries.select("name")).distinct()
     members = stored(_needed_sets(docs, sets, names), "jaccard-members")
+    entries = stored(entries.join(members.select("name", "sketch"), "name"), "jaccard-sketched")
     # First answers: for each set of a short list one neighbour; in long lists,
     # round by round, pivots for what is not in their component yet.
     both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -127,6 +127,34 @@ def test_pairs_meet_their_sets_once(spark, monkeypatch):
     assert len(plans) == 4 and not any("Join" in p for p in plans)
 
 
+def test_sets_too_far_apart_are_not_met_in_lists(spark):
+    """The join of a long list's sets makes rows of those that their sketches do not
+    rule out, and of every two that link."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 120, dtype=np.uint64)
+
+    def near(i):
+        copy = base.copy()
+        copy[rng.permutation(119)[: 2 if i % 5 == 0 else 30]] = rng.integers(0, 2**63, 2 if i % 5 == 0 else 30, dtype=np.uint64)
+        return np.unique(copy)
+
+    sets = [near(i) for i in range(50)]
+    entries = [(1, i, len(f), 0, i, jaccard.sketch(f)) for i, f in enumerate(sets)]
+    known = frame(spark, entries, "hash long, name long, size int, pos int, component long, sketch array<long>")
+    got = {tuple(sorted(r)) for r in jaccard._outside_pairs(known, 75).collect()}
+    common = {(i, j): len(np.intersect1d(sets[i], sets[j])) for i in range(50) for j in range(i)}
+    want = {tuple(sorted(p)) for p, c in common.items() if 100 * c >= 75 * (len(sets[p[0]]) + len(sets[p[1]]) - c)}
+    assert want <= got and len(got) < len(common) / 3
+
+
+@pytest.mark.parametrize("n, m, common", [(1, 1, 1), (30, 40, 25), (146, 146, 120), (900, 1100, 0), (5, 3000, 2)])
+def test_sketches_never_claim_too_much(n, m, common):
+    all_of = np.random.default_rng(2).integers(0, 2**63, n + m - common, dtype=np.uint64)
+    x, y = (np.array(jaccard.sketch(f)) for f in (all_of[:n], all_of[n - common :]))
+    apart = int(np.bitwise_count(x ^ y).sum())
+    assert len(x) == jaccard.SKETCH and apart <= n + m - 2 * common
+
+
 def test_components_of_chains(spark):
     pairs = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7)]
     found = dict(components.components(frame(spark, pairs, "a long, b long")).collect())
