@@ -13,10 +13,12 @@ evidence.
 
 Search: examples that are alike stand side by side (same marking terms, then spherical
 k-means over the most common terms) and are cut into blocks. The inverted index keeps,
-per term and block, the greatest weight and the postings; for the most common terms,
-which stand in most blocks, both are matrices. The block maxima bound the cosine with
-any example of a block; the blocks with the best bounds give a k-th best cosine, and
-only blocks whose bound reaches it are summed, in single precision with a margin.
+for the most common terms, which stand in most blocks, the greatest weight per term and
+block and all weights, as matrices; for the other terms the postings. Postings of the
+other terms are few and are all added up; with the block maxima of the common terms
+they bound the cosine with any example of a block. The blocks with the best bounds
+give a k-th best cosine, and only in blocks whose bound reaches it are the common terms
+added, in single precision with a margin.
 Examples that come near the k-th best sum are computed again in double precision, so
 no example that belongs to the answer is skipped. Equal cosines go to the smaller id.
 
@@ -39,7 +41,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import islice, repeat
 from statistics import NormalDist
 
 import numpy as np
@@ -53,6 +55,7 @@ from .common import crc_of_id, stored
 from .quality_classifier import isotonic
 
 TERM = re.compile(r"\w+")
+SPACED = "".join(c if TERM.match(c) else " " for c in map(chr, range(128)))  # of ASCII, what stands in a term
 NEAREST = 16
 CELLS = 1000
 RICH = 3  # marking terms in a text beyond which more are not told apart
@@ -67,7 +70,9 @@ MARGIN = 1e-4  # more than sums in single precision can be off
 
 
 def terms(text: str | None) -> list[str]:
-    return TERM.findall((text or "").lower())
+    """As ``TERM`` finds them in the lower-case text."""
+    low = (text or "").lower()
+    return low.translate(SPACED).split() if low.isascii() else TERM.findall(low)
 
 
 class Space:
@@ -93,9 +98,12 @@ class Space:
         """Numbers and frequencies of a text's terms, and the squared length of the
         terms that no example has."""
         if self._term is None:
-            self._term = {t: i for i, t in enumerate(self.names)}
+            # Frequent terms lie side by side in memory, as most of a text is of them.
+            order = np.argsort(self.idf, kind="stable").tolist()
+            names = "\n".join(self.names[i] for i in order).split("\n") if order else []
+            self._term = dict(zip(names, order))
         found = Counter(terms(text))
-        at = np.array([self._term.get(t, -1) for t in found], dtype=np.int32)
+        at = np.fromiter(map(self._term.get, found, repeat(-1)), dtype=np.int32, count=len(found))
         tf = np.fromiter(found.values(), dtype=np.int32, count=len(found))
         known = at >= 0
         other = float(((1 + np.log(tf[~known])) ** 2).sum()) * self.unseen**2
@@ -206,9 +214,8 @@ class Index:
 
     def postings(self) -> tuple:
         """Columns of the common terms (-1: none), their weights by example and their
-        greatest weights by block. Of the other terms: starts of their blocks; the
-        blocks, their greatest weights and starts of their postings; examples and
-        weights of the postings."""
+        greatest weights by block. Of the other terms: starts of their postings;
+        examples and weights of the postings."""
         if self._postings is None:
             n, size = len(self.starts) - 1, self.space.size
             rows = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.starts))
@@ -219,15 +226,8 @@ class Index:
             tops = table.reshape(-1, BLOCK, table.shape[1]).max(axis=1).T.copy()
             by_term = np.flatnonzero(~dense)
             by_term = by_term[np.argsort(self.at[by_term], kind="stable")]  # in a term, by example
-            term, rows, weights = self.at[by_term], rows[by_term], self.w[by_term].astype(np.float32)
-            blocks = rows // BLOCK
-            new = np.ones(len(term), dtype=bool)
-            new[1:] = (term[1:] != term[:-1]) | (blocks[1:] != blocks[:-1])
-            first = np.flatnonzero(new)
-            most = np.maximum.reduceat(weights, first) if len(first) else weights
-            starts = np.append(0, np.cumsum(np.bincount(term[first], minlength=size)))
-            others = starts, blocks[first], most, np.append(first, len(term)), rows, weights
-            self._postings = column, table, tops, *others
+            starts = np.append(0, np.cumsum(np.bincount(self.at[by_term], minlength=size)))
+            self._postings = column, table, tops, starts, rows[by_term], self.w[by_term].astype(np.float32)
         return self._postings
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -239,52 +239,36 @@ class Index:
         none = np.zeros(0, dtype=np.int64), np.zeros(0)
         if len(self.starts) < 2:
             return [none for _ in vectors]
-        column, table, tops, starts, blocks, most, first, examples, weights = self.postings()
+        column, table, tops, starts, examples, weights = self.postings()
         n_blocks = tops.shape[1]
         asked = np.zeros((len(vectors), len(tops)), dtype=np.float32)
-        others, lists = np.zeros((len(vectors), n_blocks), dtype=np.float32), []
+        others = np.zeros((len(vectors), n_blocks * BLOCK), dtype=np.float32)
         for i, (at, w) in enumerate(vectors):
             dense = column[at] >= 0
             asked[i, column[at[dense]]] = w[dense]
-            at, w = at[~dense], w[~dense].astype(np.float32)
+            at, w = at[~dense], w[~dense]
             sizes = starts[at + 1] - starts[at]
-            own, weight = _ranges(starts[at], sizes), np.repeat(w, sizes)
-            lists.append((own, blocks[own], weight))
-            others[i] = np.bincount(blocks[own], weight * most[own], n_blocks)
-        bounds = others + asked @ tops
-        sums = np.zeros((len(vectors), n_blocks, BLOCK), dtype=np.float32)
-
-        def add_common(some: np.ndarray) -> None:
-            """The common terms' part of the sums, for the blocks chosen for each vector."""
+            own = _ranges(starts[at], sizes)
+            others[i] = np.bincount(examples[own], np.repeat(w, sizes) * weights[own], others.shape[1])
+        others = others.reshape(len(vectors), n_blocks, BLOCK)
+        bounds = others.max(axis=2) + asked @ tops
+        sums = np.zeros_like(others)
+
+        def add_up(some: np.ndarray) -> None:
+            """The sums of all terms, for the blocks chosen for each vector."""
             for block in np.flatnonzero(some.any(axis=0)):
                 here = np.flatnonzero(some[:, block])
-                sums[here, block] = asked[here] @ table[block * BLOCK : (block + 1) * BLOCK].T
-
-        def add_others(some: np.ndarray) -> None:
-            for total, chosen, (own, of, weight) in zip(sums.reshape(len(vectors), -1), some, lists):
-                here = np.flatnonzero(chosen[of])
-                if not len(here):
-                    continue
-                own = own[here]
-                sizes = first[own + 1] - first[own]
-                those = _ranges(first[own], sizes)
-                np.add.at(total, examples[those], np.repeat(weight[here], sizes) * weights[those])
+                sums[here, block] = others[here, block] + asked[here] @ table[block * BLOCK : (block + 1) * BLOCK].T
 
         tried = np.zeros(bounds.shape, dtype=bool)
         needed = min(n_blocks, -(-k // BLOCK) + FIRST)
         best = np.argpartition(bounds, n_blocks - needed, axis=1)[:, n_blocks - needed :]
         np.put_along_axis(tried, best, True, axis=1)
-        add_common(tried)
-        add_others(tried)
+        add_up(tried)
         seen = np.take_along_axis(sums, best[:, :, None], axis=1).reshape(len(vectors), -1)
         kth = max(0, seen.shape[1] - k)
         least = np.maximum(np.partition(seen, kth, axis=1)[:, kth] - MARGIN, 0) if seen.shape[1] > k else np.zeros(len(seen))
-        left = (bounds > least[:, None]) & ~tried
-        add_common(left)
-        # With the common terms summed, the others' bound leaves fewer blocks.
-        left &= sums.max(axis=2) + others > least[:, None]
-        sums[~(left | tried)] = 0
-        add_others(left)
+        add_up((bounds > least[:, None]) & ~tried)
 
         whole, out = np.zeros(self.space.size), []
         for total, low, (at, w) in zip(sums.reshape(len(vectors), -1), least, vectors):
@@ -295,9 +279,11 @@ class Index:
                 out.append(none)
                 continue
             whole[at] = w
-            sizes = self.starts[near + 1] - self.starts[near]
-            own = _ranges(self.starts[near], sizes)
-            exact = np.add.reduceat(whole[self.at[own]] * self.w[own], np.cumsum(sizes) - sizes)
+            first, last = self.starts[near], self.starts[near + 1]
+            own = [slice(f, l) for f, l in zip(first.tolist(), last.tolist())]
+            shares = whole[np.concatenate([self.at[s] for s in own])]
+            shares *= np.concatenate([self.w[s] for s in own])
+            exact = np.add.reduceat(shares, np.cumsum(last - first) - (last - first))
             whole[at] = 0
             sizes = np.minimum(self.members[near + 1] - self.members[near], k)
             places, cosines = _ranges(self.members[near], sizes), np.repeat(exact, sizes)

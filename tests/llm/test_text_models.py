@@ -185,6 +185,25 @@ def test_nearest_equals_brute_force_with_marking_terms(monkeypatch):
         assert np.allclose(cosines, [-c for c, _ in want], atol=1e-8)
 
 
+@pytest.mark.parametrize("text", [None, "", "".join(map(chr, range(128))), "A_b c-9\x1fd\x0be", "\u212a x", "Caf\u00e9 na\u0130ve\u2003b_\u0663"])
+def test_terms_are_split_as_the_pattern_finds_them(text):
+    assert toxicity.terms(text) == toxicity.TERM.findall((text or "").lower())
+    assert all((c == " ") != bool(toxicity.TERM.match(chr(i))) for i, c in enumerate(toxicity.SPACED))
+
+
+def test_postings_of_rare_terms_are_added_whole(monkeypatch):
+    """They are kept by example alone; the blocks' maxima are those of the common terms."""
+    monkeypatch.setattr(toxicity, "COMMON", 4)
+    rows = [(i, i % 2, {"the": 0.1, f"r{i // 16}": 0.9}) for i in range(3200)]
+    index = toxicity.Index({t: 1.0 for _, _, v in rows for t in v}, rows)
+    index.postings()
+    column, table, tops, starts, examples, weights = index._postings
+    assert table.shape[0] == toxicity.BLOCK * tops.shape[1] and starts[-1] == len(examples) == len(weights)
+    at, w = index.vector("the r7")
+    places, _ = index.nearest(at, w)
+    assert sorted(int(i) for i in index.ids[places]) == list(range(7 * 16, 8 * 16))
+
+
 def test_toxicity_learns_and_leaves_clean_alone(spark):
     rng = random.Random(1)
     rows, known = [], []
